@@ -6,7 +6,14 @@ from tidegauge.operators.quality import (
     stuck_readings,
     suppress_duplicates,
 )
-from tidegauge.operators.revisions import convergence, mark_final, revision_log
+from tidegauge.operators.revisions import (
+    accumulate,
+    arrival_batch,
+    convergence,
+    mark_final,
+    revision_log,
+    revisions_by_definition,
+)
 from tidegauge.operators.rules import (
     alert_history,
     alert_now,
@@ -14,6 +21,7 @@ from tidegauge.operators.rules import (
     compliance_by_day,
     compliance_total,
     current_window,
+    roster_status,
     sensor_status,
     stage_status,
     violations,
@@ -38,8 +46,10 @@ from tidegauge.operators.windows import (
 )
 
 __all__ = [
+    "accumulate",
     "alert_history",
     "alert_now",
+    "arrival_batch",
     "below_minimum",
     "compliance_by_day",
     "compliance_total",
@@ -60,6 +70,8 @@ __all__ = [
     "panes",
     "recent",
     "revision_log",
+    "revisions_by_definition",
+    "roster_status",
     "sensor_gaps",
     "sensor_status",
     "series",

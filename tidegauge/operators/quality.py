@@ -68,7 +68,7 @@ def lateness_profile(
         F.sum("n").alias("readings"),
         F.max("late_s").alias("max_s"),
         *[
-            F.percentile("late_s", q, "n").alias(f"p{round(q * 100)}_s") for q in quantiles
+            F.percentile("late_s", q, F.col("n")).alias(f"p{round(q * 100)}_s") for q in quantiles
         ],
     )
 
@@ -90,22 +90,13 @@ def stuck_readings(
     chunk_s: int = 86_400,
 ) -> DataFrame:
     """Readings that repeat the value of the ``n - 1`` readings before them (EXT-2)."""
-    framed = trailing(
-        df,
-        [key],
-        ts,
-        n,
-        {
-            "_low": F.min("value"),
-            "_high": F.max("value"),
-            "_values": F.count("value"),
-        },
-        chunk_s,
-        tie,
-    )
-    return framed.filter((F.col("_values") == n) & (F.col("_low") == F.col("_high"))).select(
-        *df.columns
-    )
+    same = (F.col("_values") == n) & (F.col("_low") == F.col("_high"))
+    frames = {
+        "_low": F.min("value"),
+        "_high": F.max("value"),
+        "_values": F.count("value"),
+    }
+    return trailing(df, [key], ts, n, frames, chunk_s, tie, keep=same).select(*df.columns)
 
 
 def suppress_duplicates(

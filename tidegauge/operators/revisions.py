@@ -7,6 +7,37 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegauge.operators.windows import metrics_by_definition, window_totals
+
+
+def accumulate(
+    parts: DataFrame,
+    keys: Sequence[str] = (),
+    batch: str = "batch_start",
+    decimals: int | None = None,
+) -> DataFrame:
+    """Totals per (window, arrival batch) to totals of everything arrived so far.
+
+    The running part sees one row per batch that touched a window, never readings.
+    """
+    window = Window.partitionBy(*keys, "window_start", "window_end").orderBy(batch)
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("value_sum").over(so_far)
+    return parts.select(
+        *keys,
+        "window_start",
+        "window_end",
+        batch,
+        F.row_number().over(window).alias("revision"),
+        (total if decimals is None else F.round(total, decimals)).alias("value_sum"),
+        F.sum("value_count").over(so_far).alias("value_count"),
+    )
+
+
+def arrival_batch(df: DataFrame, batch_s: int, arrival: str = "arrival_time") -> DataFrame:
+    """Adds ``batch_start``, the start of the batch in which a reading arrived."""
+    return df.withColumn("batch_start", F.window(arrival, f"{batch_s} seconds")["start"])
+
 
 def revision_log(
     df: DataFrame,
@@ -14,34 +45,31 @@ def revision_log(
     batch_s: int,
     keys: Sequence[str] = (),
     slide_s: int | None = None,
-    ts: str = "event_time",
     arrival: str = "arrival_time",
-    value: str = "value",
     decimals: int | None = None,
 ) -> DataFrame:
     """What was known of each window after each arrival batch that touched it (LATE-1).
 
     A row per (window, arrival batch): totals of everything arrived so far and a
-    revision number. The running part sees one row per batch, never raw readings.
+    revision number.
     """
-    slide_s = slide_s or size_s
-    arrived = df.withColumn("batch_start", F.window(arrival, f"{batch_s} seconds")["start"])
-    span = F.window(ts, f"{size_s} seconds", f"{slide_s} seconds")
-    per_batch = arrived.groupBy(*keys, span.alias("span"), "batch_start").agg(
-        F.sum(value).alias("part_sum"), F.count(value).alias("part_count")
-    )
-    window = Window.partitionBy(*keys, "span").orderBy("batch_start")
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("part_sum").over(so_far)
-    return per_batch.select(
-        *keys,
-        F.col("span.start").alias("window_start"),
-        F.col("span.end").alias("window_end"),
-        "batch_start",
-        F.row_number().over(window).alias("revision"),
-        (total if decimals is None else F.round(total, decimals)).alias("value_sum"),
-        F.sum("part_count").over(so_far).alias("value_count"),
-    )
+    arrived = arrival_batch(df, batch_s, arrival)
+    parts = window_totals(arrived, size_s, slide_s, (*keys, "batch_start"))
+    return accumulate(parts, keys, decimals=decimals)
+
+
+def revisions_by_definition(
+    df: DataFrame,
+    definitions: DataFrame,
+    pane_s: int,
+    batch_s: int,
+    arrival: str = "arrival_time",
+    decimals: int | None = None,
+) -> DataFrame:
+    """The revision logs of all metrics of a definition table, in one scan."""
+    arrived = arrival_batch(df, batch_s, arrival)
+    parts = metrics_by_definition(arrived, definitions, pane_s, ("batch_start",))
+    return accumulate(parts, ("metric",), decimals=decimals)
 
 
 def convergence(

@@ -16,54 +16,44 @@ def trailing(
     aggregates: Mapping[str, Column],
     chunk_s: int = 7 * 86_400,
     tie: Sequence[str] = (),
+    keep: Column | None = None,
 ) -> DataFrame:
     """Adds aggregates over each row and the ``n - 1`` rows before it, per key.
 
     "Before" is by position in ``order`` (a timestamp; ``tie`` makes it total), not
-    by time, so gaps do not matter. A window over the keys alone would put a whole
-    series into one task; here each key is cut into time chunks that are worked on
-    apart. A chunk needs only the ``n - 1`` rows ahead of it, which are found among
-    the last ``n - 1`` rows of the chunks before it: as every chunk that exists has
-    at least one row, ``n - 1`` chunks always hold enough of them.
+    by time, so gaps do not matter. ``keep`` returns only rows whose aggregates
+    satisfy it.
+
+    A window over the keys alone would put a whole series into one task. Here each
+    key is cut into time chunks, and only the first ``n - 1`` rows of a chunk look
+    beyond it. Their frames are taken in a second window over the edges, the first
+    and last ``n - 1`` rows of every chunk, which hold all rows such a frame can
+    reach; the edges of a key grow with the number of its chunks. Other rows pass
+    that window in their own chunks, or leave before it by ``keep``. The input is
+    read once.
     """
-    before = n - 1
     by_order = [F.col(order), *[F.col(t) for t in tie]]
-    rows = df.filter(F.col(order).isNotNull()).withColumn(
-        "_chunk", F.window(order, f"{chunk_s} seconds")["start"]
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*by_order)
+    numbered = (
+        df.filter(F.col(order).isNotNull())
+        .withColumn("_chunk", F.window(order, f"{chunk_s} seconds")["start"])
+        .withColumns(
+            {
+                "_nth": F.row_number().over(within),
+                "_more": F.lead(F.lit(True), n - 1, False).over(within),
+                **{c: a.over(within.rowsBetween(1 - n, 0)) for c, a in aggregates.items()},
+            }
+        )
     )
-    if before == 0:
-        halo = None
+    if n == 1:
+        framed = numbered
     else:
-        newest_first = Window.partitionBy(*keys, "_chunk").orderBy(
-            *[c.desc() for c in by_order]
-        )
-        ends = (
-            rows.withColumn("_nth", F.row_number().over(newest_first))
-            .filter(F.col("_nth") <= before)
-            .drop("_nth")
-        )
-        rest = [c for c in df.columns if c not in (*keys, order, *tie)]
-        packed = F.struct(order, *tie, *rest)
-        earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(-before, -1)
-        # At most n - 1 rows per chunk and (n - 1)^2 per list.
-        halo = (
-            ends.groupBy(*keys, "_chunk")
-            .agg(F.array_sort(F.collect_list(packed)).alias("_end"))
-            .withColumn("_ahead", F.flatten(F.collect_list("_end").over(earlier)))
-            .withColumn(
-                "_ahead",
-                F.slice(
-                    "_ahead",
-                    F.greatest(F.size("_ahead") - F.lit(before) + 1, F.lit(1)),
-                    F.lit(before),
-                ),
-            )
-            .select(*keys, "_chunk", F.explode("_ahead").alias("_row"))
-            .select(*keys, "_chunk", "_row.*", F.lit(True).alias("_halo"))
+        edge = (F.col("_nth") < n) | ~F.col("_more")
+        rows = numbered if keep is None else numbered.filter(edge | keep)
+        across = Window.partitionBy(*keys, "_group").orderBy(*by_order).rowsBetween(1 - n, 0)
+        complete = F.col("_nth") >= n
+        framed = rows.withColumn("_group", F.when(~edge, F.col("_chunk"))).withColumns(
+            {c: F.when(complete, F.col(c)).otherwise(a.over(across)) for c, a in aggregates.items()}
         )
-    frame = Window.partitionBy(*keys, "_chunk").orderBy(*by_order).rowsBetween(-before, 0)
-    whole = rows.withColumn("_halo", F.lit(False))
-    if halo is not None:
-        whole = whole.unionByName(halo)
-    framed = whole.withColumns({name: agg.over(frame) for name, agg in aggregates.items()})
-    return framed.filter(~F.col("_halo")).select(*df.columns, *aggregates)
+    result = framed.select(*df.columns, *aggregates)
+    return result if keep is None else result.filter(keep)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions import clock, round_half_even
+from tidegauge.functions import clock, round_half_even, severity_name
 from tidegauge.model import (
     COMPLIANCE,
     MIN_MEAN,
@@ -27,13 +27,12 @@ from tidegauge.operators import (
     options,
     overlay,
     recent,
+    roster_status,
     series,
     stage_status,
     tail,
     violations,
 )
-from tidegauge.operators.rules import roster_status
-from tidegauge.functions import severity_name
 
 
 def line_monitor(

@@ -27,9 +27,8 @@ def replay(
     would. Slices are written by executors into folders of their own, so that a
     repeated write replaces them.
     """
-    numbered = stored.withColumn(
-        "_slice", sum((F.col(arrival) >= F.lit(c).cast("timestamp")).cast("int") for c in cuts)
-    )
+    passed = [(F.col(arrival) >= F.lit(c).cast("timestamp")).cast("int") for c in cuts]
+    numbered = stored.withColumn("_slice", sum(passed, F.lit(0)))
     for n in range(len(cuts) + 1):
         part = numbered.filter(F.col("_slice") == n).drop("_slice")
         part.write.mode("overwrite").parquet(f"{landing}/slice-{n:05d}")
