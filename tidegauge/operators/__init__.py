@@ -3,6 +3,7 @@ from tidegauge.operators.quality import (
     lateness_profile,
     out_of_limits,
     sensor_gaps,
+    silent_devices,
     stuck_readings,
     suppress_duplicates,
 )
@@ -26,7 +27,7 @@ from tidegauge.operators.rules import (
     stage_status,
     violations,
 )
-from tidegauge.operators.trailing import trailing
+from tidegauge.operators.trailing import neighbour_frames, trailing
 from tidegauge.operators.views import (
     data_lag,
     last_windows,
@@ -63,6 +64,7 @@ __all__ = [
     "mark_final",
     "metric_totals",
     "metrics_by_definition",
+    "neighbour_frames",
     "newest",
     "options",
     "out_of_limits",
@@ -75,6 +77,7 @@ __all__ = [
     "sensor_gaps",
     "sensor_status",
     "series",
+    "silent_devices",
     "stage_status",
     "stuck_readings",
     "suppress_duplicates",

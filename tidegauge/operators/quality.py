@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions import micros, seconds_between
-from tidegauge.operators.trailing import trailing
+from tidegauge.operators.trailing import neighbour_frames, trailing
 
 
 def sensor_gaps(
@@ -17,32 +17,60 @@ def sensor_gaps(
     as_of: Column | None = None,
     key: str = "device_id",
     ts: str = "event_time",
+    chunk_s: int = 7 * 86_400,
 ) -> DataFrame:
     """Stretches of more than ``silent_s`` seconds without a reading (EXT-1).
 
     Readings closer than that can share a bucket of ``silent_s`` seconds without
     hiding a gap, so only the first and last reading of each bucket are compared
-    with the next bucket: the series that is sorted per device grows with time, not
-    with readings. ``as_of`` adds the gap from the last reading until then.
+    with the next bucket; what is sorted grows with time, not with readings.
+    ``as_of`` adds the gap from the last reading until then.
     """
     bucket = F.window(ts, f"{silent_s} seconds")
     buckets = df.groupBy(key, bucket.alias("b")).agg(
-        F.min(ts).alias("first"), F.max(ts).alias("last")
+        F.min(ts).alias("first"), F.max(ts).alias("gap_start")
     )
-    following = F.lead("first").over(Window.partitionBy(key).orderBy("first"))
-    until = following if as_of is None else F.coalesce(following, as_of)
+    following = neighbour_frames(
+        buckets.drop("b"),
+        [key],
+        "first",
+        0,
+        1,
+        {"next": F.last("first"), "rows": F.count(F.lit(1))},
+        chunk_s,
+    )
+    until = F.when(F.col("rows") == 2, F.col("next"))
+    if as_of is not None:
+        until = until.otherwise(as_of)
+    silence = micros(F.col("gap_end")) - micros(F.col("gap_start"))
     return (
-        buckets.withColumn("gap_end", until)
-        .filter(micros(F.col("gap_end")) - micros(F.col("last")) > silent_s * 1_000_000)
+        following.withColumn("gap_end", until)
+        .filter(silence > silent_s * 1_000_000)
         .select(
             key,
-            F.col("last").alias("gap_start"),
+            "gap_start",
             "gap_end",
-            seconds_between(F.col("last"), F.col("gap_end")).alias("gap_s"),
+            seconds_between(F.col("gap_start"), F.col("gap_end")).alias("gap_s"),
         )
     )
 
 
+def silent_devices(
+    latest: DataFrame, devices: DataFrame, silent_s: int, as_of: Column
+) -> DataFrame:
+    """Devices of the roster without a reading for ``silent_s`` seconds, or ever (EXT-1).
+
+    ``latest`` is the latest reading per device, as a table or kept by a stream.
+    """
+    age = seconds_between(F.col("event_time"), as_of)
+    return (
+        devices.select("device_id")
+        .join(latest.select("device_id", "event_time"), "device_id", "left")
+        .withColumn("silent_for_s", age)
+        .filter(F.col("silent_for_s").isNull() | (F.col("silent_for_s") > silent_s))
+    )
+
+
 def lateness_profile(
     df: DataFrame,
     quantiles: Sequence[float] = (0.5, 0.95, 0.99),
@@ -96,7 +124,9 @@ def stuck_readings(
         "_high": F.max("value"),
         "_values": F.count("value"),
     }
-    return trailing(df, [key], ts, n, frames, chunk_s, tie, keep=same).select(*df.columns)
+    return trailing(
+        df, [key], ts, n, frames, chunk_s=chunk_s, tie=tie, keep=same
+    ).select(*df.columns)
 
 
 def suppress_duplicates(

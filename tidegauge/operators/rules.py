@@ -102,7 +102,7 @@ def alert_history(
         "window_start",
         n,
         {"baseline": F.avg("mean"), "baseline_windows": F.count(F.lit(1))},
-        chunk_s,
+        chunk_s=chunk_s,
     )
     alert = (F.col("baseline_windows") >= n) & (F.col("mean") > F.col("baseline") * ratio)
     return baseline.withColumn("status", F.when(alert, "ALERT").otherwise("OK"))

@@ -1,4 +1,4 @@
-"""Frames of the last n rows, without one task per key (WIN-3)."""
+"""Frames over neighbouring rows, without one task per key (WIN-3)."""
 
 from __future__ import annotations
 
@@ -8,52 +8,78 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def trailing(
+def neighbour_frames(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    n: int,
+    before: int,
+    after: int,
     aggregates: Mapping[str, Column],
     chunk_s: int = 7 * 86_400,
     tie: Sequence[str] = (),
     keep: Column | None = None,
 ) -> DataFrame:
-    """Adds aggregates over each row and the ``n - 1`` rows before it, per key.
+    """Adds aggregates over each row, ``before`` rows ahead of it and ``after`` behind.
 
-    "Before" is by position in ``order`` (a timestamp; ``tie`` makes it total), not
-    by time, so gaps do not matter. ``keep`` returns only rows whose aggregates
-    satisfy it.
+    Rows are neighbours by position in ``order`` (a timestamp; ``tie`` makes it
+    total) within ``keys``, not by time, so gaps do not matter. ``keep`` returns only
+    rows whose aggregates satisfy it.
 
     A window over the keys alone would put a whole series into one task. Here each
-    key is cut into time chunks, and only the first ``n - 1`` rows of a chunk look
-    beyond it. Their frames are taken in a second window over the edges, the first
-    and last ``n - 1`` rows of every chunk, which hold all rows such a frame can
+    key is cut into time chunks, and only rows near the ends of a chunk look beyond
+    it. Their frames are taken in a second window over the edges, the first and last
+    ``before + after`` rows of every chunk, which hold all rows such a frame can
     reach; the edges of a key grow with the number of its chunks. Other rows pass
     that window in their own chunks, or leave before it by ``keep``. The input is
     read once.
     """
+    reach = before + after
     by_order = [F.col(order), *[F.col(t) for t in tie]]
-    within = Window.partitionBy(*keys, "_chunk").orderBy(*by_order)
-    numbered = (
+
+    def window(group: str):
+        return Window.partitionBy(*keys, group).orderBy(*by_order)
+
+    def frames(group: str) -> dict[str, Column]:
+        rows = window(group).rowsBetween(-before, after)
+        return {name: agg.over(rows) for name, agg in aggregates.items()}
+
+    def followed_by(n: int) -> Column:
+        return F.lead(F.lit(True), n, False).over(window("_chunk"))
+
+    chunked = (
         df.filter(F.col(order).isNotNull())
         .withColumn("_chunk", F.window(order, f"{chunk_s} seconds")["start"])
         .withColumns(
             {
-                "_nth": F.row_number().over(within),
-                "_more": F.lead(F.lit(True), n - 1, False).over(within),
-                **{c: a.over(within.rowsBetween(1 - n, 0)) for c, a in aggregates.items()},
+                "_nth": F.row_number().over(window("_chunk")),
+                "_whole": followed_by(after),
+                "_inner": followed_by(reach),
+                **frames("_chunk"),
             }
         )
     )
-    if n == 1:
-        framed = numbered
-    else:
-        edge = (F.col("_nth") < n) | ~F.col("_more")
-        rows = numbered if keep is None else numbered.filter(edge | keep)
-        across = Window.partitionBy(*keys, "_group").orderBy(*by_order).rowsBetween(1 - n, 0)
-        complete = F.col("_nth") >= n
-        framed = rows.withColumn("_group", F.when(~edge, F.col("_chunk"))).withColumns(
-            {c: F.when(complete, F.col(c)).otherwise(a.over(across)) for c, a in aggregates.items()}
+    if reach:
+        edge = (F.col("_nth") <= reach) | ~F.col("_inner")
+        if keep is not None:
+            chunked = chunked.filter(edge | keep)
+        complete = (F.col("_nth") > before) & F.col("_whole")
+        chunked = chunked.withColumn("_group", F.when(~edge, F.col("_chunk"))).withColumns(
+            {
+                name: F.when(complete, F.col(name)).otherwise(over_edges)
+                for name, over_edges in frames("_group").items()
+            }
         )
-    result = framed.select(*df.columns, *aggregates)
+    result = chunked.select(*df.columns, *aggregates)
     return result if keep is None else result.filter(keep)
+
+
+def trailing(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    n: int,
+    aggregates: Mapping[str, Column],
+    **how,
+) -> DataFrame:
+    """Adds aggregates over the last ``n`` rows, the current one included."""
+    return neighbour_frames(df, keys, order, n - 1, 0, aggregates, **how)

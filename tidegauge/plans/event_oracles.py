@@ -173,7 +173,7 @@ ORACLES: dict[str, str] = {
     "tumbling_mean_1m_derived": f"SELECT {MEANS} FROM {TUMBLING_1M}",
     "hourly_total": f"""SELECT date_trunc('hour', ts) AS window_start, {SUM} AS value_sum
 FROM events WHERE {COUNTER} GROUP BY 1""",
-    "sliding_by_site_1h_30m": f"""SELECT user_id AS site, {TOTALS}
+    "sliding_by_site_1h_30m": f"""SELECT CAST(user_id AS VARCHAR) AS site, {TOTALS}
 FROM {windows('true', 3600, 1800, 'user_id')}""",
     "metric_defs_multi": metrics(tuple(BY_METRIC), TOTALS),
     "final_windows": f"""SELECT {MEANS},
@@ -190,6 +190,9 @@ FROM {windows('true', 3600, 1800, 'user_id')}""",
     "message_vibration_window": message(
         "vibration_window", START, END, "mean AS mean_vibration"
     ),
+    "published_messages": message(
+        "temp_window", START, END, "value_sum AS temp_sum", "value_count AS temp_count"
+    ),
     "json_decode": "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events",
     "envelope_roundtrip": """SELECT event_id, event_type AS device_id, value, ts AS event_time
 FROM events""",
@@ -273,6 +276,10 @@ FROM (SELECT event_type, (epoch_us(arrival_time) - epoch_us(ts)) // 1000000 AS l
 FROM (SELECT event_type, ts, coalesce(lead(ts) OVER (PARTITION BY event_type ORDER BY ts),
         {AS_OF}) AS gap_end FROM events)
 WHERE epoch_us(gap_end) - epoch_us(ts) > 1200000000""",
+    "silent_devices": f"""SELECT device_id, event_time,
+  (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(event_time)) / 1000000 AS silent_for_s
+FROM {DEVICES} LEFT JOIN {LATEST_READINGS} USING (device_id)
+WHERE event_time IS NULL OR event_time < TIMESTAMP '2024-01-31' - INTERVAL 2 HOUR""",
     "stuck_readings": """SELECT event_id, event_type AS device_id, value FROM events
 QUALIFY value = lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id)""",
     "out_of_limits": f"""SELECT event_id, event_type AS device_id, value
@@ -287,7 +294,18 @@ FROM events""",
         ("temp_wide", "production_wide", "compliance_wide", "vibration_wide"),
         "window_start, value_sum, value_count",
     ),
+    "stream_by_site": f"""SELECT CAST(user_id AS VARCHAR) AS site, window_start, value_sum,
+  value_count FROM {windows(PAIR, 3600, 3600, 'user_id')}""",
+    "stream_definitions": metrics(
+        ("temp_wide", "production_wide", "compliance_wide", "vibration_wide"),
+        "window_start, value_sum, value_count",
+    ),
     "stream_violations": f"SELECT window_start, mean FROM {TUMBLING_1H} WHERE mean < 20",
     "stream_latest_per_device": f"SELECT * FROM {LATEST_READINGS}",
+    "stream_dedup": """SELECT DISTINCT event_type AS device_id, value, ts AS event_time
+FROM events""",
+    "stream_landed": """SELECT event_type AS device_id, value, ts AS event_time FROM events
+WHERE event_type NOT IN ('signup', 'error')
+  AND NOT (event_type = 'click' AND value > 100) AND NOT (event_type = 'view' AND value < 5)""",
     "convergence_diff": CONVERGENCE,
 }

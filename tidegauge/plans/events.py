@@ -35,7 +35,15 @@ from tidegauge.sources import (
     reject_reason,
     to_telemetry,
 )
-from tidegauge.streaming import latest_reading_query, start_metrics
+from tidegauge.streaming import (
+    definition_stream,
+    land_telemetry,
+    latest_reading_query,
+    publish,
+    read_landed,
+    start_combined,
+    start_metrics,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,8 +93,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc(spark).read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def telemetry(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    return to_telemetry(events(spark, sf_dir), "event_type", "value", "ts", "event_id", *extra)
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    site = F.col("user_id").cast("string").alias("site")
+    return to_telemetry(events(spark, sf_dir), "event_type", "value", "ts", "event_id", site)
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +176,7 @@ def hourly_total(spark, sf_dir):
 
 
 def by_site(spark, sf_dir):
-    rows = telemetry(spark, sf_dir, "user_id").withColumn("site", F.col("user_id"))
-    return op.window_totals(rows, HOUR, HOUR // 2, ["site"], decimals=2)
+    return op.window_totals(telemetry(spark, sf_dir), HOUR, HOUR // 2, ["site"], decimals=2)
 
 
 def defined_metrics(spark, sf_dir):
@@ -188,6 +196,19 @@ def final_windows(spark, sf_dir):
     return marked.select("window_start", "window_end", "mean", "is_final")
 
 
+def published(spark, sf_dir):
+    """Messages written as JSON by the executors and read back from the sink."""
+    totals = op.metric_totals(telemetry(spark, sf_dir), FINE_TEMPERATURE)
+    (path,) = _folders(spark, "messages")
+    publish(encode(totals, FINE_TEMPERATURE, moment(AS_OF)), "text", path, mode="overwrite")
+    fields = (
+        "metric string, window_start string, window_end string, temp_sum double, "
+        "temp_count bigint, computed_at string"
+    )
+    sent = utc(spark).read.text(path)
+    return sent.select(F.from_json("value", fields).alias("m")).select("m.*")
+
+
 def messages(metric: MetricDef) -> Query:
     def run(spark, sf_dir):
         totals = op.metric_totals(telemetry(spark, sf_dir), metric)
@@ -221,7 +242,7 @@ def envelope_roundtrip(spark, sf_dir):
     )
 
 
-def reject_split(spark, sf_dir):
+def faulty_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signups send a foreign payload, errors an unreadable time, dear clicks no
     device and cheap views no value."""
     kind, value = F.col("event_type"), F.col("value")
@@ -232,7 +253,11 @@ def reject_split(spark, sf_dir):
             F.when(kind == "error", "yesterday").otherwise(fn.iso(F.col("ts"))),
         )
     )
-    sent = events(spark, sf_dir).select("event_id", payload.alias("payload"))
+    return events(spark, sf_dir).select("event_id", "ts", payload.alias("payload"))
+
+
+def reject_split(spark, sf_dir):
+    sent = faulty_payloads(spark, sf_dir)
     return reject_reason(decode(sent, "payload", keep=("event_id",))).select(
         "event_id", F.coalesce("reject_reason", F.lit("usable")).alias("quality")
     )
@@ -257,7 +282,7 @@ def time_texts(spark, sf_dir):
 
 
 def latest_readings(spark, sf_dir):
-    return op.latest_per_device(telemetry(spark, sf_dir), "event_id")
+    return op.latest_per_device(telemetry(spark, sf_dir).drop("site"), "event_id")
 
 
 def sensor_status(spark, sf_dir):
@@ -342,12 +367,12 @@ def series_overlay(spark, sf_dir):
 
 def recent_readings(spark, sf_dir):
     return op.recent(
-        telemetry(spark, sf_dir), "event_time", moment(MIDDLE), 24 * HOUR, 2 * HOUR
+        telemetry(spark, sf_dir).drop("site"), "event_time", moment(MIDDLE), 24 * HOUR, 2 * HOUR
     )
 
 
 def telemetry_tail(spark, sf_dir):
-    return op.tail(telemetry(spark, sf_dir), ["event_id"], "device_id", PAIR)
+    return op.tail(telemetry(spark, sf_dir).drop("site"), ["event_id"], "device_id", PAIR)
 
 
 def metric_tail(spark, sf_dir):
@@ -358,7 +383,7 @@ def metric_tail(spark, sf_dir):
 
 
 def rolling_buffer(spark, sf_dir):
-    return op.newest(telemetry(spark, sf_dir), ["event_id"], BUFFER_ROWS)
+    return op.newest(telemetry(spark, sf_dir).drop("site"), ["event_id"], BUFFER_ROWS)
 
 
 def device_options(spark, sf_dir):
@@ -389,6 +414,11 @@ def lateness(spark, sf_dir):
     return profile.withColumns({q: F.round(q, 6) for q in quantiles})
 
 
+def silent_devices(spark, sf_dir):
+    latest = latest_readings(spark, sf_dir)
+    return op.silent_devices(latest, devices(spark), 2 * HOUR, moment("2024-01-31 00:00:00"))
+
+
 def sensor_gaps(spark, sf_dir):
     gaps = op.sensor_gaps(telemetry(spark, sf_dir), 1200, moment(AS_OF))
     return gaps.withColumn("gap_s", F.round("gap_s", 6))
@@ -408,7 +438,7 @@ def outliers(spark, sf_dir):
 
 def deduplicated(spark, sf_dir):
     """Errors are sent twice and the second copy is suppressed."""
-    once = telemetry(spark, sf_dir).drop("event_id")
+    once = telemetry(spark, sf_dir).drop("event_id", "site")
     sent = once.unionByName(once.filter(F.col("device_id") == "error"))
     return op.suppress_duplicates(sent)
 
@@ -420,27 +450,41 @@ ONE_CUT = ("2024-01-12 00:00:00",)
 BEFORE_FLUSH = ("2024-01-05 10:29:00", "2024-01-15 01:29:00", "2024-01-24 00:29:00")
 
 
+def _folders(spark: SparkSession, *purposes: str) -> list[str]:
+    return [shared_folder(spark, p) for p in purposes]
+
+
+def _instants(df: DataFrame) -> DataFrame:
+    """Watermarks need instants, not local times."""
+    times = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in times})
+
+
+def _local(df: DataFrame) -> DataFrame:
+    times = [c for c, t in df.dtypes if t == "timestamp"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
+def _latest_view(spark: SparkSession, table: str) -> DataFrame:
+    return _local(op.latest_revision(read_revisions(utc(spark), table)))
+
+
 def _streamed(
-    spark: SparkSession, sf_dir: str, metrics: Sequence[MetricDef], cuts: Sequence[str]
+    spark: SparkSession,
+    sf_dir: str,
+    metrics: Sequence[MetricDef],
+    cuts: Sequence[str],
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Latest view of a revision table that streaming queries wrote."""
-    live = stream_session(spark)
-    table, checkpoints, landing = (
-        shared_folder(spark, name) for name in ("revisions", "checkpoints", "landing")
-    )
-    # Watermarks need instants, not local times.
-    stored = arrivals(live, sf_dir).withColumns(
-        {c: F.col(c).cast("timestamp") for c in ("event_time", "arrival_time")}
-    )
+    table, checkpoints, landing = _folders(spark, "revisions", "checkpoints", "landing")
+    stored = _instants(arrivals(stream_session(spark), sf_dir))
 
     def start(stream: DataFrame):
-        return start_metrics(stream, table, checkpoints, metrics, available_now=True)
+        return start_metrics(stream, table, checkpoints, metrics, keys=keys, available_now=True)
 
     replay(stored, "arrival_time", cuts, landing, start)
-    latest = op.latest_revision(read_revisions(utc(spark), table))
-    return latest.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-    )
+    return _latest_view(spark, table)
 
 
 def stream_latest(metric: MetricDef) -> Query:
@@ -472,24 +516,76 @@ def stream_convergence(spark, sf_dir):
     return op.convergence(streamed, whole, ("metric", "window_start", "window_end"))
 
 
-def stream_latest_readings(spark, sf_dir):
-    live = stream_session(spark)
-    path, checkpoint, landing = (
-        shared_folder(spark, name) for name in ("latest", "checkpoints", "landing")
+def stream_by_site(spark, sf_dir):
+    """The metric per site, with the user in the role of the site."""
+    return _streamed(spark, sf_dir, [WIDE_COMPLIANCE], ONE_CUT, ["site"]).select(
+        "site", "window_start", "value_sum", "value_count"
     )
-    stored = arrivals(live, sf_dir).withColumn(
-        "event_time", F.col("event_time").cast("timestamp")
+
+
+def stream_definitions(spark, sf_dir):
+    """The same metrics from rows of a definition table, in one query."""
+    table, checkpoint, landing = _folders(spark, "revisions", "checkpoint", "landing")
+    stored = _instants(arrivals(stream_session(spark), sf_dir))
+
+    def start(stream: DataFrame):
+        definitions = definition_table(stream.sparkSession, WIDE)
+        metrics = definition_stream(stream, definitions, 2 * HOUR, decimals=2)
+        return [start_combined(metrics, table, checkpoint, available_now=True)]
+
+    replay(stored, "arrival_time", ONE_CUT, landing, start)
+    return _latest_view(spark, table).select(
+        "metric", "window_start", "value_sum", "value_count"
     )
 
+
+def stream_latest_readings(spark, sf_dir):
+    path, checkpoint, landing = _folders(spark, "latest", "checkpoint", "landing")
+    stored = _instants(arrivals(stream_session(spark), sf_dir))
+
     def start(stream: DataFrame):
         rows = stream.select("device_id", "value", "event_time", "event_id")
         return [latest_reading_query(rows, "event_id", path, checkpoint, available_now=True)]
 
     replay(stored, "arrival_time", ONE_CUT, landing, start)
-    rows = utc(spark).read.parquet(path)
-    return op.latest_revision(rows, ("device_id",), ("batch_id",)).select(
-        "device_id", "value", F.col("event_time").cast("timestamp_ntz"), "event_id"
-    )
+    rows = op.latest_revision(utc(spark).read.parquet(path), ("device_id",), ("batch_id",))
+    return _local(rows).select("device_id", "value", "event_time", "event_id")
+
+
+def stream_deduplicated(spark, sf_dir):
+    """Errors are sent twice; the copies are suppressed within the watermark."""
+    path, checkpoint, landing = _folders(spark, "readings", "checkpoint", "landing")
+    once = _instants(arrivals(stream_session(spark), sf_dir))
+    sent = once.unionByName(once.filter(F.col("device_id") == "error"))
+
+    def start(stream: DataFrame):
+        rows = stream.select("device_id", "value", "event_time")
+        single = op.suppress_duplicates(rows, delay_s=2 * HOUR)
+        return [
+            single.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        ]
+
+    replay(sent, "arrival_time", ONE_CUT, landing, start)
+    return _local(utc(spark).read.parquet(path))
+
+
+def stream_landed(spark, sf_dir):
+    """Payloads decoded once and landed; the usable ones."""
+    path, checkpoint, landing = _folders(spark, "telemetry", "checkpoint", "landing")
+    live = stream_session(spark)
+    sent = faulty_payloads(live, sf_dir).withColumn("arrival_time", F.col("ts").cast("timestamp"))
+
+    def start(stream: DataFrame):
+        decoded = decode(stream.select("payload"), "payload")
+        return [land_telemetry(decoded, path, checkpoint, available_now=True)]
+
+    replay(sent.drop("ts"), "arrival_time", ONE_CUT, landing, start)
+    landed = read_landed(utc(spark), path).select("device_id", "value", "event_time")
+    return _local(landed)
 
 
 QUERIES: dict[str, Query] = {
@@ -508,6 +604,7 @@ QUERIES: dict[str, Query] = {
     "message_production_hourly": messages(FINE_PRODUCTION),
     "message_compliance_window": messages(FINE_COMPLIANCE),
     "message_vibration_window": messages(FINE_VIBRATION),
+    "published_messages": published,
     "json_decode": json_decode,
     "envelope_roundtrip": envelope_roundtrip,
     "reject_split": reject_split,
@@ -541,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "latest_revision": latest_revision,
     "lateness_profile": lateness,
     "sensor_gaps": sensor_gaps,
+    "silent_devices": silent_devices,
     "stuck_readings": stuck,
     "out_of_limits": outliers,
     "dedup_events": deduplicated,
@@ -548,7 +646,11 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_latest": stream_latest(WIDE_PRODUCTION),
     "stream_vibration_latest": stream_latest(WIDE_VIBRATION),
     "stream_metrics_latest": stream_metrics,
+    "stream_by_site": stream_by_site,
+    "stream_definitions": stream_definitions,
     "stream_violations": stream_violations,
     "stream_latest_per_device": stream_latest_readings,
+    "stream_dedup": stream_deduplicated,
+    "stream_landed": stream_landed,
     "convergence_diff": stream_convergence,
 }

@@ -26,6 +26,15 @@ def engine_session(app: str = "tidegauge", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def _sibling(spark: SparkSession, **changes: str) -> SparkSession:
+    """A session beside ``spark`` with its runtime settings, but for ``changes``."""
+    sibling = spark.newSession()
+    for key, value in {**spark.conf.getAll, **changes}.items():
+        if sibling.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    return sibling
+
+
 def utc(spark: SparkSession) -> SparkSession:
     """``spark`` itself if it runs on UTC, else a sibling session that does.
 
@@ -34,9 +43,7 @@ def utc(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z"):
         return spark
-    sibling = spark.newSession()
-    sibling.conf.set("spark.sql.session.timeZone", "UTC")
-    return sibling
+    return _sibling(spark, **{"spark.sql.session.timeZone": "UTC"})
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -44,12 +51,13 @@ def stream_session(spark: SparkSession) -> SparkSession:
 
     The caller's own settings stay as they are.
     """
-    sibling = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions",):
-        sibling.conf.set(key, spark.conf.get(key))
-    sibling.conf.set("spark.sql.session.timeZone", "UTC")
-    sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return sibling
+    return _sibling(
+        spark,
+        **{
+            "spark.sql.session.timeZone": "UTC",
+            "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        },
+    )
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -1,3 +1,8 @@
+from tidegauge.streaming.definitions import (
+    combined_stream,
+    definition_stream,
+    start_combined,
+)
 from tidegauge.streaming.landing import land_telemetry, read_landed
 from tidegauge.streaming.runner import (
     await_all,
@@ -12,7 +17,9 @@ from tidegauge.streaming.sinks import compact_revisions, publish, revision_write
 
 __all__ = [
     "await_all",
+    "combined_stream",
     "compact_revisions",
+    "definition_stream",
     "land_telemetry",
     "latest_reading_query",
     "metric_stream",
@@ -21,6 +28,7 @@ __all__ = [
     "revision_writer",
     "run_identity",
     "run_until_any_ends",
+    "start_combined",
     "start_metric",
     "start_metrics",
     "watermark_report",
