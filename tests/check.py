@@ -34,4 +34,5 @@ def main():
     print(f"{len(names) - bad} of {len(names)} agree")
 
 
-main()
+if __name__ == "__main__":
+    main()

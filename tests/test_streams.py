@@ -1,0 +1,299 @@
+"""Late data, restart and replay on streams; goldens as observed on Spark 4.1."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import reading
+from tidegauge.model import METRICS, MetricDef
+from tidegauge.operators import convergence, latest_revision, metric_totals, with_mean
+from tidegauge.plans.messages import encode
+from tidegauge.sources import decode, read_revisions, read_stream, stream_revisions
+from tidegauge.streaming import (
+    await_all,
+    compact_revisions,
+    land_telemetry,
+    publish,
+    read_landed,
+    revision_writer,
+    run_identity,
+    start_metric,
+    start_metrics,
+    watermark_report,
+)
+
+MINUTE = MetricDef("minute", ("c1",), 60, 60)
+
+
+def source(spark, drop_file):
+    options = {"maxFilesPerTrigger": "1"}
+    lines = read_stream(spark, "text", drop_file.folder, options=options)
+    return decode(lines).drop("payload")
+
+
+def run(spark, drop_file, metric, root):
+    query = start_metric(
+        source(spark, drop_file), metric, f"{root}/table", f"{root}/checkpoints", available_now=True
+    )
+    await_all([query])
+    return query
+
+
+def revisions(spark, root):
+    rows = read_revisions(spark, f"{root}/table").orderBy("run_id", "batch_id", "window_start")
+    return [
+        (r.batch_id, r.window_start.strftime("%H:%M"), r.value_sum, r.value_count)
+        for r in rows.collect()
+    ]
+
+
+@pytest.fixture
+def five_files(drop_file):
+    def minute(clock, value):
+        return reading("c1", clock, value)
+
+    bad_time = {"device_id": "c1", "value": 1.0, "timestamp": "zzz"}
+    drop_file(minute("00:00:10", 70), minute("00:00:40", 80), minute("00:02:10", 81), bad_time)
+    drop_file(minute("00:00:20", 90), minute("00:02:20", 60))
+    drop_file(minute("00:09:00", 50))
+    drop_file(minute("00:00:30", 50), minute("00:07:30", 55))
+    drop_file(minute("00:00:30", 50), minute("00:07:30", 55))
+    return drop_file
+
+
+def test_late_data_golden(spark, five_files, tmp_path):
+    query = run(spark, five_files, MINUTE, tmp_path)
+    assert revisions(spark, tmp_path) == [
+        (0, "00:00", 150.0, 2),
+        (0, "00:02", 81.0, 1),
+        (1, "00:00", 240.0, 3),
+        (1, "00:02", 141.0, 2),
+        (2, "00:09", 50.0, 1),
+        (3, "00:00", 290.0, 4),
+        (3, "00:07", 55.0, 1),
+        (4, "00:07", 110.0, 2),
+    ]
+    latest = latest_revision(read_revisions(spark, f"{tmp_path}/table"))
+    found = {r.window_start.strftime("%H:%M"): (r.value_sum, r.value_count) for r in latest.collect()}
+    assert found == {"00:00": (290, 4), "00:02": (141, 2), "00:07": (110, 2), "00:09": (50, 1)}
+    assert sum(p["dropped"] for p in watermark_report(query)) == 1
+
+
+def test_late_rule_looks_at_the_window_end(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:09:30", 1))
+    drop_file(reading("c1", "00:09:31", 1))
+    drop_file(reading("c1", "00:07:10", 1), reading("c1", "00:06:50", 1))
+    run(spark, drop_file, MINUTE, tmp_path)
+    assert {r[1] for r in revisions(spark, tmp_path)} == {"00:09", "00:07"}
+
+
+def test_only_own_devices_move_the_clock(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:05", 1), reading("x", "00:00:30", 1))
+    drop_file(reading("x", "00:20:00", 1))
+    drop_file(reading("x", "00:21:00", 1))
+    drop_file(reading("c1", "00:00:45", 1), reading("x", "00:22:00", 1))
+    run(spark, drop_file, MINUTE, tmp_path / "own")
+    assert [(r[1], r[3]) for r in revisions(spark, tmp_path / "own")] == [("00:00", 1), ("00:00", 2)]
+    both = MINUTE.widened(name="both", devices=("c1", "x"))
+    run(spark, drop_file, both, tmp_path / "both")
+    first = [r for r in revisions(spark, tmp_path / "both") if r[1] == "00:00"]
+    assert [r[3] for r in first] == [2]
+
+
+def test_restart_continues_where_it_stopped(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    run(spark, drop_file, MINUTE, tmp_path)
+    drop_file(reading("c1", "00:00:20", 2))
+    run(spark, drop_file, MINUTE, tmp_path)
+    rows = read_revisions(spark, f"{tmp_path}/table")
+    assert rows.select("run_id").distinct().count() == 1
+    assert [r[2:] for r in revisions(spark, tmp_path)] == [(1.0, 1), (3.0, 2)]
+
+
+def test_new_checkpoint_outranks_the_old_run(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    drop_file(reading("c1", "00:00:20", 2))
+    run(spark, drop_file, MINUTE, tmp_path)
+    corrected = MINUTE.widened(decimals=0)
+    drop_file(reading("c1", "00:00:30", 4))
+    query = start_metric(
+        source(spark, drop_file).filter("value < 4"),
+        corrected,
+        f"{tmp_path}/table",
+        f"{tmp_path}/second",
+        available_now=True,
+    )
+    await_all([query])
+    table = read_revisions(spark, f"{tmp_path}/table")
+    assert table.select("run_id").distinct().count() == 2
+    newest_run = table.agg(F.max("run_id")).first()[0]
+    assert latest_revision(table).first().run_id == newest_run
+
+
+def test_repeated_batch_changes_nothing(spark, tmp_path):
+    window = "timestamp'2024-01-01 00:00:00' AS window_start, timestamp'2024-01-01 00:01:00' AS window_end"
+    batch = spark.sql(f"SELECT {window}, 5.0D AS value_sum, 2L AS value_count")
+    write = revision_writer(f"{tmp_path}/table", MINUTE, "r1")
+    for _ in range(3):
+        write(batch, 7)
+    write(batch.limit(0), 8)
+    assert revisions(spark, tmp_path) == [(7, "00:00", 5.0, 2)]
+
+
+def test_half_written_batch_is_replaced(spark, tmp_path):
+    window = "timestamp'2024-01-01 00:00:00' AS window_start, timestamp'2024-01-01 00:01:00' AS window_end"
+    batch = spark.sql(f"SELECT {window}, 5.0D AS value_sum, 2L AS value_count")
+    write = revision_writer(f"{tmp_path}/table", MINUTE, "r1")
+    write(batch.unionByName(batch), 0)
+    write(batch, 0)
+    assert revisions(spark, tmp_path) == [(0, "00:00", 5.0, 2)]
+
+
+def test_run_identity_is_bound_to_the_checkpoint(spark, tmp_path):
+    first = run_identity(spark, f"{tmp_path}/a")
+    assert run_identity(spark, f"{tmp_path}/a/") == first
+    assert run_identity(spark, f"{tmp_path}/b") > first
+
+
+def test_failing_sink_ends_the_query(spark, drop_file, tmp_path):
+    def fail(_stored, _batch_id):
+        raise RuntimeError("sink is down")
+
+    drop_file(reading("c1", "00:00:10", 1))
+    query = start_metric(
+        source(spark, drop_file),
+        MINUTE,
+        f"{tmp_path}/table",
+        f"{tmp_path}/checkpoints",
+        available_now=True,
+        after=fail,
+    )
+    with pytest.raises(Exception, match="sink is down"):
+        query.awaitTermination()
+
+
+def line_readings():
+    for second in range(0, 240, 5):
+        clock = f"00:{second // 60:02d}:{second % 60:02d}"
+        yield reading("cook_temp_1", clock, 70.0 + second % 7)
+        yield reading("cook_temp_2", clock, 74.5)
+        yield reading("sausage_count", clock, second % 3)
+        yield reading("mixer_vibration", clock, 0.5 + (second % 11) / 10)
+
+
+def test_four_metrics_side_by_side(spark, drop_file, tmp_path):
+    rows = list(line_readings())
+    for start in range(0, len(rows), 64):
+        # Out of order inside each file.
+        drop_file(*reversed(rows[start : start + 64]))
+    table = f"{tmp_path}/table"
+    telemetry = source(spark, drop_file)
+    await_all(start_metrics(telemetry, table, f"{tmp_path}/checkpoints", available_now=True))
+    stored = decode(spark.read.text(drop_file.folder)).drop("payload")
+    latest = latest_revision(read_revisions(spark, table))
+    for metric in METRICS:
+        whole = metric_totals(stored, metric).withColumn("site", F.lit(None).cast("string"))
+        assert whole.count() > 0
+        own = latest.filter(F.col("metric") == metric.name)
+        assert convergence(own, whole).count() == 0, metric.name
+
+
+def test_messages_are_published_from_the_stored_batch(spark, drop_file, tmp_path):
+    temperature = METRICS[0]
+
+    def send(stored, batch_id):
+        publish(encode(stored, temperature), "text", f"{tmp_path}/topic/{batch_id}", mode="overwrite")
+
+    drop_file(*line_readings())
+    query = start_metric(
+        source(spark, drop_file),
+        temperature,
+        f"{tmp_path}/table",
+        f"{tmp_path}/checkpoints",
+        available_now=True,
+        after=send,
+    )
+    await_all([query])
+    sent = spark.read.json(f"{tmp_path}/topic/*")
+    assert sent.columns == sorted(
+        ["metric", "window_start", "window_end", "temp_sum", "temp_count", "computed_at"]
+    )
+    first = sent.orderBy("window_start").first()
+    assert first.window_start == "2023-12-31T23:59:30"
+    assert first.window_end == "2024-01-01T00:00:30"
+    assert first.computed_at.endswith("+00:00")
+    assert sent.count() == read_revisions(spark, f"{tmp_path}/table").count()
+
+
+def test_metric_stream_is_read_without_consuming_it(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    run(spark, drop_file, MINUTE, tmp_path)
+
+    def read_on(name):
+        path, checkpoint = f"{tmp_path}/{name}", f"{tmp_path}/{name}-checkpoint"
+        query = (
+            stream_revisions(spark, f"{tmp_path}/table")
+            .writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        await_all([query])
+        return spark.read.parquet(path).count()
+
+    assert read_on("one") == 1
+    drop_file(reading("c1", "00:00:20", 2))
+    run(spark, drop_file, MINUTE, tmp_path)
+    assert read_on("one") == 2
+    assert read_on("two") == 2
+
+
+def test_landing_keeps_rejects_apart(spark, drop_file, tmp_path):
+    good = reading("c1", "00:00:10", 1)
+    drop_file(
+        good,
+        "no json",
+        "[1, 2]",
+        {**good, "value": "12"},
+        {**good, "value": None},
+        {**good, "device_id": None},
+        {**good, "timestamp": "soon"},
+        '{"device_id": "c1", "value": NaN, "timestamp": "2024-01-01T00:00:10Z"}',
+    )
+    lines = read_stream(spark, "text", drop_file.folder)
+    await_all([land_telemetry(decode(lines), f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)])
+    assert [r.value for r in read_landed(spark, f"{tmp_path}/t").collect()] == [1.0]
+    found = {
+        q: read_landed(spark, f"{tmp_path}/t", q).filter("payload IS NOT NULL").count()
+        for q in ("malformed", "no value", "no device", "no event time", "not a number")
+    }
+    assert found == {
+        "malformed": 2,
+        "no value": 2,
+        "no device": 1,
+        "no event time": 1,
+        "not a number": 1,
+    }
+
+
+def test_compacted_table_has_the_same_latest_view(spark, five_files, tmp_path):
+    run(spark, five_files, MINUTE, tmp_path)
+    table = read_revisions(spark, f"{tmp_path}/table")
+    compact_revisions(table, f"{tmp_path}/compact")
+    compact = read_revisions(spark, f"{tmp_path}/compact")
+    assert compact.count() == 4
+    latest, again = latest_revision(table), latest_revision(compact)
+    assert latest.exceptAll(again).count() == 0 and again.exceptAll(latest).count() == 0
+    united = latest_revision(table.filter("batch_id > 2").unionByName(compact))
+    assert united.exceptAll(latest).count() == 0
+
+
+def test_mean_of_a_window_without_values_is_null(spark):
+    rows = spark.createDataFrame(
+        [("c1", None, datetime(2024, 1, 1, 0, 0, 5))],
+        "device_id string, value double, event_time timestamp",
+    )
+    only = with_mean(metric_totals(rows, MINUTE)).first()
+    assert (only.value_sum, only.value_count, only["mean"]) == (None, 0, None)
