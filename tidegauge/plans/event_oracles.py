@@ -137,6 +137,21 @@ def level(n: str) -> str:
 # nowhere near half-way.
 HALF_EVEN = "round_even({0}, 1)"
 
+MESSAGES = {
+    "message_temp_window": message(
+        "temp_window", START, END, "value_sum AS temp_sum", "value_count AS temp_count"
+    ),
+    "message_production_hourly": message(
+        "production_hourly", f"{text('window_start')} AS hour", "value_sum AS total_sausages"
+    ),
+    "message_compliance_window": message(
+        "compliance_window", START, END, "mean AS mean_temp"
+    ),
+    "message_vibration_window": message(
+        "vibration_window", START, END, "mean AS mean_vibration"
+    ),
+}
+
 # A reading is dropped when its window ended before the watermark that earlier slices set.
 CONVERGENCE = f"""
 WITH a AS (
@@ -178,21 +193,9 @@ FROM {windows('true', 3600, 1800, 'user_id')}""",
     "metric_defs_multi": metrics(tuple(BY_METRIC), TOTALS),
     "final_windows": f"""SELECT {MEANS},
   window_end + INTERVAL 7200 SECOND <= {MIDDLE} AS is_final FROM {TEMP_1H}""",
-    "message_temp_window": message(
-        "temp_window", START, END, "value_sum AS temp_sum", "value_count AS temp_count"
-    ),
-    "message_production_hourly": message(
-        "production_hourly", f"{text('window_start')} AS hour", "value_sum AS total_sausages"
-    ),
-    "message_compliance_window": message(
-        "compliance_window", START, END, "mean AS mean_temp"
-    ),
-    "message_vibration_window": message(
-        "vibration_window", START, END, "mean AS mean_vibration"
-    ),
-    "published_messages": message(
-        "temp_window", START, END, "value_sum AS temp_sum", "value_count AS temp_count"
-    ),
+    **MESSAGES,
+    "metric_topic": " UNION ALL BY NAME ".join(MESSAGES.values()),
+    "published_messages": MESSAGES["message_temp_window"],
     "json_decode": "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events",
     "envelope_roundtrip": """SELECT event_id, event_type AS device_id, value, ts AS event_time
 FROM events""",

@@ -24,7 +24,7 @@ from tidegauge.model import (
     MetricDef,
 )
 from tidegauge.operators.windows import common_pane
-from tidegauge.plans.messages import encode
+from tidegauge.plans.messages import encode, metric_topic
 from tidegauge.plans.replay import replay
 from tidegauge.session import shared_folder, stream_session, utc
 from tidegauge.sources import (
@@ -217,6 +217,10 @@ def messages(metric: MetricDef) -> Query:
     return run
 
 
+def all_messages(spark, sf_dir):
+    return metric_topic(messages(m)(spark, sf_dir) for m in FINE)
+
+
 # --- Sources and scalar functions ----------------------------------------------
 
 
@@ -604,6 +608,7 @@ QUERIES: dict[str, Query] = {
     "message_production_hourly": messages(FINE_PRODUCTION),
     "message_compliance_window": messages(FINE_COMPLIANCE),
     "message_vibration_window": messages(FINE_VIBRATION),
+    "metric_topic": all_messages,
     "published_messages": published,
     "json_decode": json_decode,
     "envelope_roundtrip": envelope_roundtrip,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,3 +30,8 @@ def encode(windows: DataFrame, metric: MetricDef, computed_at: Column | None = N
         *[field(ours).alias(theirs) for theirs, ours in metric.message],
         iso(stamp, offset=True).alias("computed_at"),
     )
+
+
+def metric_topic(records: Iterable[DataFrame]) -> DataFrame:
+    """Records of several metrics as one stream; fields a metric lacks are null (SET-1)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records)

@@ -7,7 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State off the heap, of which a batch uploads only the changes.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def engine_session(app: str = "tidegauge", **conf: str) -> SparkSession:
@@ -16,8 +22,9 @@ def engine_session(app: str = "tidegauge", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.scheduler.mode": "FAIR",
         "spark.ui.enabled": "false",
+        **STATE_SETTINGS,
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -51,13 +58,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
 
     The caller's own settings stay as they are.
     """
-    return _sibling(
-        spark,
-        **{
-            "spark.sql.session.timeZone": "UTC",
-            "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        },
-    )
+    return _sibling(spark, **{"spark.sql.session.timeZone": "UTC", **STATE_SETTINGS})
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

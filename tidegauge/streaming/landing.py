@@ -58,6 +58,17 @@ def land_telemetry(
     )
 
 
-def read_landed(spark: SparkSession, path: str, quality: str = USABLE) -> DataFrame:
-    """Landed rows of one quality; the filter prunes directories."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(path).filter(F.col("quality") == quality)
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    quality: str = USABLE,
+    first_day: str | None = None,
+    last_day: str | None = None,
+) -> DataFrame:
+    """Landed rows of one quality, of some days or all; the filters prune directories."""
+    rows = spark.read.schema(LANDED_SCHEMA).parquet(path).filter(F.col("quality") == quality)
+    if first_day is not None:
+        rows = rows.filter(F.col("event_date") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        rows = rows.filter(F.col("event_date") <= F.lit(last_day).cast("date"))
+    return rows

@@ -55,16 +55,23 @@ def start_metric(
     as the watermark needs it (STR-11). ``keys`` may be ``("site",)`` (EXT-7).
     """
     checkpoint = f"{checkpoints.rstrip('/')}/{metric.name}"
-    run_id = run_identity(telemetry.sparkSession, checkpoint)
-    return (
+    spark = telemetry.sparkSession
+    run_id = run_identity(spark, checkpoint)
+    writer = (
         metric_stream(telemetry, metric, keys)
         .writeStream.queryName(metric.name)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(available_now, trigger_s))
         .foreachBatch(revision_writer(table, metric, run_id, after))
-        .start()
     )
+    # The query's thread inherits the pool: under the FAIR scheduler a metric with a
+    # long batch does not hold up the others.
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", metric.name)
+    try:
+        return writer.start()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
 def start_metrics(

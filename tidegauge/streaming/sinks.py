@@ -22,12 +22,15 @@ def run_identity(spark: SparkSession, checkpoint: str) -> str:
     """
     home = f"{checkpoint.rstrip('/')}-run"
     try:
-        return spark.read.text(home).first()["value"]
+        kept = spark.read.text(home).first()
+        if kept is not None:
+            return kept["value"]
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
     made = datetime.now(tz=timezone.utc).strftime("r%Y%m%dT%H%M%S%f")
-    spark.range(1, numPartitions=1).select(F.lit(made).alias("value")).write.text(home)
+    identity = spark.range(1, numPartitions=1).select(F.lit(made).alias("value"))
+    identity.write.mode("overwrite").text(home)
     return made
 
 
