@@ -17,9 +17,8 @@ def parse_iso(text: Column) -> Column:
 
 def iso(ts: Column, offset: bool = False) -> Column:
     """ISO-8601 text, the fraction only where there is one (FN-4)."""
-    body = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(ts, ".SSSSSS")
-    text = F.concat(body, F.when(fraction == ".000000", "").otherwise(fraction))
+    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    text = F.when(full.endswith(".000000"), F.left(full, F.lit(19))).otherwise(full)
     return F.concat(text, F.lit("+00:00")) if offset else text
 
 
