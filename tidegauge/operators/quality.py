@@ -115,9 +115,13 @@ def stuck_readings(
     key: str = "device_id",
     ts: str = "event_time",
     tie: Sequence[str] = (),
-    chunk_s: int = 86_400,
+    chunk_s: int = 60,
 ) -> DataFrame:
-    """Readings that repeat the value of the ``n - 1`` readings before them (EXT-2)."""
+    """Readings that repeat the value of the ``n - 1`` readings before them (EXT-2).
+
+    One task sorts the readings of a device in ``chunk_s`` seconds, however many
+    devices there are; the edges of the chunks grow with time only.
+    """
     same = (F.col("_values") == n) & (F.col("_low") == F.col("_high"))
     frames = {
         "_low": F.min("value"),
@@ -137,8 +141,10 @@ def suppress_duplicates(
 ) -> DataFrame:
     """One copy of each reading (EXT-6).
 
-    On a stream, copies are recognised while they are at most ``delay_s`` apart, so
-    that state stays bounded.
+    A table drops copies in each task before the shuffle. On a stream, copies are
+    recognised while they are at most ``delay_s`` apart, so that state stays bounded;
+    the copies of one reading in a batch meet in one task, where they are dropped as
+    they pass.
     """
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))

@@ -153,9 +153,7 @@ def metrics_by_definition(
             for c in ("size_s", "slide_s")
         ],
     )
-    # Semi join first: devices of no metric leave before the aggregation.
-    used = df.join(definitions.select("device_id"), "device_id", "left_semi")
-    parts = panes(used, pane_s, ("device_id", *keys))
+    parts = panes(df, pane_s, ("device_id", *keys))
     start = micros(F.col("window_start"))
     newest_start = start - F.pmod(start, F.col("slide_us"))
     oldest_reach = start - F.col("size_us") + pane_us

@@ -53,12 +53,23 @@ def utc(spark: SparkSession) -> SparkSession:
     return _sibling(spark, **{"spark.sql.session.timeZone": "UTC"})
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A UTC sibling session whose streaming state lives in RocksDB.
 
-    The caller's own settings stay as they are.
+    The state has ``partitions`` parts, by default one per core of the cluster: each
+    is a store of its own that every batch opens, so the number that suits batch
+    shuffles is too high. A checkpoint keeps the number it began with. The caller's
+    own settings stay as they are.
     """
-    return _sibling(spark, **{"spark.sql.session.timeZone": "UTC", **STATE_SETTINGS})
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    return _sibling(
+        spark,
+        **{
+            "spark.sql.session.timeZone": "UTC",
+            "spark.sql.shuffle.partitions": str(partitions),
+            **STATE_SETTINGS,
+        },
+    )
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
