@@ -10,8 +10,8 @@ from tidegauge.session import engine_session
 def spark(tmp_path_factory):
     conf = {
         "spark.master": "local[4]",
-        "spark.sql.shuffle.partitions": "4",
-        "spark.default.parallelism": "4",
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
     }

@@ -7,17 +7,33 @@ from pyspark.sql import functions as F
 
 from tests.conftest import reading
 from tidegauge.model import METRICS, MetricDef
-from tidegauge.operators import convergence, latest_revision, metric_totals, with_mean
+from tidegauge.operators import (
+    convergence,
+    latest_revision,
+    metric_totals,
+    suppress_duplicates,
+    with_mean,
+)
 from tidegauge.plans.messages import encode
-from tidegauge.sources import decode, read_revisions, read_stream, stream_revisions
+from tidegauge.sources import (
+    decode,
+    definition_table,
+    read_revisions,
+    read_stream,
+    read_with_compacted,
+    stream_revisions,
+)
 from tidegauge.streaming import (
     await_all,
+    combined_stream,
     compact_revisions,
+    definition_stream,
     land_telemetry,
     publish,
     read_landed,
     revision_writer,
     run_identity,
+    start_combined,
     start_metric,
     start_metrics,
     watermark_report,
@@ -286,8 +302,124 @@ def test_compacted_table_has_the_same_latest_view(spark, five_files, tmp_path):
     assert compact.count() == 4
     latest, again = latest_revision(table), latest_revision(compact)
     assert latest.exceptAll(again).count() == 0 and again.exceptAll(latest).count() == 0
-    united = latest_revision(table.filter("batch_id > 2").unionByName(compact))
-    assert united.exceptAll(latest).count() == 0
+    united = latest_revision(read_with_compacted(spark, f"{tmp_path}/table", f"{tmp_path}/compact"))
+    assert united.exceptAll(latest).count() == 0 and united.count() == 4
+
+
+def test_reading_one_metric_lists_only_its_directories(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    run(spark, drop_file, MINUTE, tmp_path)
+    run(spark, drop_file, MINUTE.widened(name="other"), tmp_path)
+    one = read_revisions(spark, f"{tmp_path}/table", ["minute"])
+    assert [r.metric for r in one.collect()] == ["minute"]
+    assert all("metric=minute" in f for f in one.inputFiles())
+
+
+def whose_clock(drop_file):
+    drop_file(reading("c1", "00:00:05", 1), reading("x", "00:00:30", 1))
+    for minute in (20, 21, 22):
+        drop_file(reading("x", f"00:{minute}:00", 1))
+    drop_file(reading("c1", "00:00:45", 1), reading("x", "00:23:00", 1))
+
+
+def first_minute(spark, table):
+    rows = read_revisions(spark, f"{table}").filter("metric = 'minute'").orderBy("batch_id")
+    start = datetime(2024, 1, 1)
+    return [r.value_count for r in rows.collect() if r.window_start == start]
+
+
+def test_slowest_metric_rules_a_combined_stream(spark, drop_file, tmp_path):
+    whose_clock(drop_file)
+    other = MINUTE.widened(name="x_minute", devices=("x",))
+    stream = combined_stream(source(spark, drop_file), [MINUTE, other])
+    query = start_combined(stream, f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)
+    await_all([query])
+    assert first_minute(spark, f"{tmp_path}/t") == [1, 2]
+
+
+def test_any_listed_device_moves_the_clock_of_a_definition_stream(spark, drop_file, tmp_path):
+    whose_clock(drop_file)
+    other = MINUTE.widened(name="x_minute", devices=("x",))
+    definitions = definition_table(spark, [MINUTE, other])
+    stream = definition_stream(source(spark, drop_file), definitions, 120)
+    query = start_combined(stream, f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)
+    await_all([query])
+    assert first_minute(spark, f"{tmp_path}/t") == [1]
+    assert sum(p["dropped"] for p in watermark_report(query)) == 1
+
+
+def test_definition_stream_refuses_too_many_shapes(spark, drop_file):
+    drop_file(reading("c1", "00:00:05", 1))
+    many = [MINUTE.widened(name=f"m{i}", size_s=i, slide_s=i) for i in range(1, 103)]
+    with pytest.raises(ValueError, match="shapes"):
+        definition_stream(source(spark, drop_file), definition_table(spark, many), 120)
+
+
+def test_repeated_batch_of_a_combined_stream_changes_nothing(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    drop_file(reading("c1", "00:00:20", 1))
+
+    def start():
+        stream = combined_stream(source(spark, drop_file), [MINUTE])
+        query = start_combined(stream, f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)
+        await_all([query])
+
+    start()
+    before = read_revisions(spark, f"{tmp_path}/t").drop("computed_at").collect()
+    # As if the driver was lost after the write and before the commit of the last batch.
+    last = max((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for leftover in (last, last.with_name(f".{last.name}.crc")):
+        leftover.unlink(missing_ok=True)
+    start()
+    after = read_revisions(spark, f"{tmp_path}/t").drop("computed_at").collect()
+    assert sorted(map(str, after)) == sorted(map(str, before))
+
+
+def test_lost_commit_is_repeated_into_the_same_batch(spark, five_files, tmp_path):
+    run(spark, five_files, MINUTE, tmp_path)
+    before = revisions(spark, tmp_path)
+    commits = tmp_path / "checkpoints" / "minute" / "commits"
+    last = max(commits.glob("[0-9]*"), key=lambda p: int(p.name))
+    for leftover in (last, last.with_name(f".{last.name}.crc")):
+        leftover.unlink(missing_ok=True)
+    run(spark, five_files, MINUTE, tmp_path)
+    assert revisions(spark, tmp_path) == before
+
+
+def test_state_of_closed_windows_is_evicted(spark, drop_file, tmp_path):
+    for minute in range(0, 40, 2):
+        drop_file(reading("c1", f"00:{minute:02d}:30", 1))
+    query = run(spark, drop_file, MINUTE, tmp_path)
+    assert max(p["state_rows"] for p in watermark_report(query)) <= 4
+
+
+def test_sites_are_kept_apart(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1), reading("c1", "00:00:20", 2))
+    sited = source(spark, drop_file).withColumn("site", F.col("value").cast("int").cast("string"))
+    await_all(
+        start_metrics(
+            sited, f"{tmp_path}/t", f"{tmp_path}/c", [MINUTE], keys=["site"], available_now=True
+        )
+    )
+    latest = latest_revision(read_revisions(spark, f"{tmp_path}/t"))
+    assert {(r.site, r.value_sum) for r in latest.collect()} == {("1", 1.0), ("2", 2.0)}
+
+
+def test_copies_are_suppressed_across_batches(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1), reading("c1", "00:00:10", 1))
+    drop_file(reading("c1", "00:00:10", 1), reading("c1", "00:00:11", 1))
+    single = suppress_duplicates(source(spark, drop_file), delay_s=120)
+    query = (
+        single.writeStream.format("parquet")
+        .option("path", f"{tmp_path}/t")
+        .option("checkpointLocation", f"{tmp_path}/c")
+        .trigger(availableNow=True)
+        .start()
+    )
+    await_all([query])
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 2
+    with pytest.raises(ValueError, match="delay_s"):
+        suppress_duplicates(source(spark, drop_file))
 
 
 def test_mean_of_a_window_without_values_is_null(spark):

@@ -92,12 +92,14 @@ def lateness_profile(
         .groupBy(key, "late_s")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return histogram.groupBy(key).agg(
+    found = histogram.groupBy(key).agg(
         F.sum("n").alias("readings"),
         F.max("late_s").alias("max_s"),
-        *[
-            F.percentile("late_s", q, F.col("n")).alias(f"p{round(q * 100)}_s") for q in quantiles
-        ],
+        F.percentile("late_s", list(quantiles), F.col("n")).alias("at"),
+    )
+    names = [f"p{round(q * 100)}_s" for q in quantiles]
+    return found.select(
+        key, "readings", "max_s", *[F.col("at")[i].alias(n) for i, n in enumerate(names)]
     )
 
 

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegauge.model import REVISION_SCHEMA
 
 
-def read_revisions(spark: SparkSession, path: str) -> DataFrame:
-    """Every revision written so far; filters on ``metric`` prune directories."""
-    return spark.read.schema(REVISION_SCHEMA).parquet(path)
+def read_revisions(spark: SparkSession, path: str, metrics: Sequence[str] = ()) -> DataFrame:
+    """Every revision written so far, of some metrics or of all.
+
+    Naming ``metrics`` spares even the listing of the other metrics' directories; a
+    filter on ``metric`` prunes them when files are read.
+    """
+    reader = spark.read.schema(REVISION_SCHEMA).option("basePath", path)
+    return reader.parquet(*[f"{path}/metric={m}" for m in metrics] or [path])
+
+
+def read_with_compacted(spark: SparkSession, path: str, compacted: str) -> DataFrame:
+    """Revisions of the streaming table and of its compacted past.
+
+    They may overlap, since views take the last revision of each window. So batches
+    that were compacted can be removed from the streaming table at any later time.
+    """
+    return read_revisions(spark, compacted).unionByName(read_revisions(spark, path))
 
 
 def stream_revisions(spark: SparkSession, path: str) -> DataFrame:
