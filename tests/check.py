@@ -30,7 +30,9 @@ def main():
         except Exception as error:  # noqa: BLE001
             found, rows = [f"{type(error).__name__}: {str(error)[:600]}"], "?"
         bad += bool(found)
-        print(f"{'ok ' if not found else 'BAD'} {name} {rows} {time.time() - begin:.2f}s", *found, sep="\n    " if found else " ", flush=True)
+        print("BAD" if found else "ok ", name, rows, f"{time.time() - begin:.2f}s", flush=True)
+        for difference in found:
+            print("   ", difference)
     print(f"{len(names) - bad} of {len(names)} agree")
 
 

@@ -159,10 +159,12 @@ def test_tumbling_sums_add_up_and_sliding_ones_repeat(spark):
 def test_lateness_profile(spark):
     rng = random.Random(5)
     late = [rng.expovariate(1 / 30) for _ in range(500)]
-    df = make(spark, [("a", i, 1.0) for i in range(500)]).withColumn(
-        "arrival_time",
-        F.col("event_time")
-        + F.make_dt_interval(secs=F.element_at(F.array(*[F.lit(round(x, 6)).cast("decimal(18,6)") for x in late]), (F.col("n") + 1).cast("int"))),
+    rows = [
+        ("a", START + timedelta(seconds=i), START + timedelta(seconds=i + round(x, 6)))
+        for i, x in enumerate(late)
+    ]
+    df = spark.createDataFrame(
+        rows, "device_id string, event_time timestamp, arrival_time timestamp"
     )
     row = op.lateness_profile(df).first()
     whole = sorted(floor(round(x, 6)) for x in late)
@@ -174,13 +176,13 @@ def test_lateness_profile(spark):
         return whole[lo] + (whole[hi] - whole[lo]) * (at - lo)
 
     assert (row.readings, row.max_s) == (500, whole[-1])
-    assert [row.p50_s, row.p95_s, row.p99_s] == pytest.approx([quantile(q) for q in (0.5, 0.95, 0.99)])
+    expected = [quantile(q) for q in (0.5, 0.95, 0.99)]
+    assert [row.p50_s, row.p95_s, row.p99_s] == pytest.approx(expected)
 
 
 def test_revision_log_ends_in_the_window_totals(spark):
-    df = make(spark, skewed(8)).withColumn(
-        "arrival_time", F.col("event_time") + F.make_dt_interval(secs=(F.col("n") * 37 % 5000).cast("decimal(18,6)"))
-    )
+    held = F.make_dt_interval(secs=(F.col("n") * 37 % 5000).cast("decimal(18,6)"))
+    df = make(spark, skewed(8)).withColumn("arrival_time", F.col("event_time") + held)
     log = op.revision_log(df, 3600, 600, ["device_id"], slide_s=1800)
     last = op.latest_revision(log, ("device_id", "window_start", "window_end"), ("batch_start",))
     last = last.drop("batch_start", "revision")
@@ -189,7 +191,10 @@ def test_revision_log_ends_in_the_window_totals(spark):
 
 
 def test_convergence_reports_missing_and_different_windows(spark):
-    fields = "metric string, site string, window_start timestamp, window_end timestamp, value_sum double, value_count long"
+    fields = (
+        "metric string, site string, window_start timestamp, window_end timestamp, "
+        "value_sum double, value_count long"
+    )
 
     def rows(*totals):
         return spark.createDataFrame(

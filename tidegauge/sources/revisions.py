@@ -32,6 +32,7 @@ def stream_revisions(spark: SparkSession, path: str) -> DataFrame:
     """The same table read incrementally.
 
     Each reader keeps its position in its own checkpoint, so reading neither
-    consumes anything nor disturbs the writer.
+    consumes anything nor disturbs the writer. A batch that the writer repeated is new
+    files and comes again, with the same run and batch: the latest view is the same.
     """
     return spark.readStream.schema(REVISION_SCHEMA).parquet(path)

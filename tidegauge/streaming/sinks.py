@@ -43,7 +43,9 @@ def publish(
 ) -> None:
     """Each row as one JSON message, written by the executors (SNK-2, FN-2).
 
-    ``fmt`` is any Spark sink with a ``value`` column: a bus connector or ``text``.
+    ``fmt`` is any Spark sink with a ``value`` column: a bus connector or ``text``. A
+    bus only appends, so a repeated batch is sent again; its readers keep the last
+    message per window. Files can be written per batch with ``mode="overwrite"``.
     """
     names = [F.col(c) for c in records.columns]
     messages = records.select(F.to_json(F.struct(*names)).alias("value"))
