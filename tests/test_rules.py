@@ -194,3 +194,19 @@ def test_rule_table_holds_the_thresholds(spark):
     rules = {(r.metric, r.rule): (r.threshold, r.n) for r in rule_table(spark).collect()}
     assert rules["vibration_window", "trailing ratio"] == (1.5, 10)
     assert rules["compliance_window", "minimum"] == (72.0, 2)
+
+
+def test_rules_come_from_their_table(spark):
+    rows = windows(spark, [70.0, 71.0, 80.0])
+    both = rows.withColumn("metric", F.lit("compliance_window")).unionByName(
+        rows.withColumn("metric", F.lit("vibration_window"))
+    )
+    found = op.violations_by_rule(both, rule_table(spark)).collect()
+    assert sorted((r.metric, r["mean"]) for r in found) == [
+        ("compliance_window", 70.0),
+        ("compliance_window", 71.0),
+    ]
+    day = op.compliance_by_rule(both, rule_table(spark)).collect()
+    assert [(r.metric, r.violations, r.status) for r in day] == [
+        ("compliance_window", 2, "CRITICAL")
+    ]

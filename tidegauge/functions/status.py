@@ -32,7 +32,9 @@ def severity_name(severity: Column) -> Column:
     return F.element_at(names, severity + 1)
 
 
-def compliance_level(violations: Column, critical_at: int = CRITICAL_VIOLATIONS) -> Column:
+def compliance_level(
+    violations: Column, critical_at: int | Column = CRITICAL_VIOLATIONS
+) -> Column:
     """OK / WARNING / CRITICAL from a number of violations (RUL-4)."""
     return (
         F.when(violations == 0, "OK")

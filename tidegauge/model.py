@@ -140,3 +140,10 @@ VIBRATION = MetricDef(
     ),
 )
 METRICS = (TEMPERATURE, PRODUCTION, COMPLIANCE, VIBRATION)
+
+# metric, rule, threshold, n
+RULES = (
+    ("temp_window", "minimum", MIN_MEAN, None),
+    ("compliance_window", "minimum", MIN_MEAN, CRITICAL_VIOLATIONS),
+    ("vibration_window", "trailing ratio", ALERT_RATIO, BASELINE_WINDOWS),
+)

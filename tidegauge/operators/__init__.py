@@ -20,12 +20,14 @@ from tidegauge.operators.rules import (
     alert_now,
     below_minimum,
     compliance_by_day,
+    compliance_by_rule,
     compliance_total,
     current_window,
     roster_status,
     sensor_status,
     stage_status,
     violations,
+    violations_by_rule,
 )
 from tidegauge.operators.trailing import neighbour_frames, trailing
 from tidegauge.operators.views import (
@@ -53,6 +55,7 @@ __all__ = [
     "arrival_batch",
     "below_minimum",
     "compliance_by_day",
+    "compliance_by_rule",
     "compliance_total",
     "convergence",
     "current_window",
@@ -85,6 +88,7 @@ __all__ = [
     "trailing",
     "tumbling_from_sliding",
     "violations",
+    "violations_by_rule",
     "window_totals",
     "with_mean",
 ]

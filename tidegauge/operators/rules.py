@@ -84,6 +84,32 @@ def compliance_total(
     )
 
 
+def _minimum_rules(rules: DataFrame) -> DataFrame:
+    return rules.filter(F.col("rule") == "minimum").select("metric", "threshold", "n")
+
+
+def violations_by_rule(windows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Violations of each metric's own minimum, from rows of a rule table (RUL-3, EXT-3)."""
+    judged = windows.join(_minimum_rules(rules).drop("n"), "metric")
+    return judged.filter(F.col("mean") < F.col("threshold"))
+
+
+def compliance_by_rule(windows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Daily compliance of each metric by its own rule; ``n`` violations are critical."""
+    judged = windows.join(_minimum_rules(rules).filter("n IS NOT NULL"), "metric")
+    day = F.window("window_start", "1 day")
+    return (
+        judged.groupBy("metric", "n", day.alias("day"))
+        .agg(F.count_if(F.col("mean") < F.col("threshold")).alias("violations"))
+        .select(
+            "metric",
+            F.col("day.start").alias("day"),
+            "violations",
+            compliance_level(F.col("violations"), F.col("n")).alias("status"),
+        )
+    )
+
+
 def alert_history(
     windows: DataFrame,
     keys: Sequence[str] = (),

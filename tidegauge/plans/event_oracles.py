@@ -228,6 +228,20 @@ FROM {TUMBLING_1H} WHERE mean < 20 ORDER BY window_start DESC LIMIT 5""",
 FROM {TUMBLING_1H} GROUP BY 1""",
     "compliance_total": f"""SELECT count(*) FILTER (mean < 20) AS violations,
   {level('count(*) FILTER (mean < 20)')} AS status FROM {TUMBLING_1H}""",
+    "violations_by_rule": f"""
+SELECT 'temp_wide' AS metric, window_start, mean, CAST(15 AS DOUBLE) AS threshold
+FROM {TEMP_1H} WHERE mean < 15
+UNION ALL SELECT 'compliance_wide', window_start, mean, CAST(20 AS DOUBLE)
+FROM {TUMBLING_1H} WHERE mean < 20""",
+    "compliance_by_rule": f"""
+SELECT 'temp_wide' AS metric, date_trunc('day', window_start)::TIMESTAMP AS day,
+  count(*) FILTER (mean < 15) AS violations,
+  CASE WHEN count(*) FILTER (mean < 15) = 0 THEN 'OK'
+       WHEN count(*) FILTER (mean < 15) < 5 THEN 'WARNING' ELSE 'CRITICAL' END AS status
+FROM {TEMP_1H} GROUP BY 2
+UNION ALL SELECT 'compliance_wide', date_trunc('day', window_start)::TIMESTAMP AS day,
+  count(*) FILTER (mean < 20), {level('count(*) FILTER (mean < 20)')}
+FROM {TUMBLING_1H} GROUP BY 2""",
     "relative_alert": f"""SELECT window_start, mean, round(baseline, 6) AS baseline,
   CASE WHEN n >= 10 AND mean > 1.5 * baseline THEN 'ALERT' ELSE 'OK' END AS status
 FROM (SELECT window_start, mean, avg(mean) OVER w AS baseline, count(*) OVER w AS n

@@ -33,6 +33,7 @@ from tidegauge.sources import (
     device_table,
     read_revisions,
     reject_reason,
+    rule_table,
     to_telemetry,
 )
 from tidegauge.streaming import (
@@ -75,6 +76,12 @@ WIDE_VIBRATION = FINE_VIBRATION.widened(
 )
 WIDE = (WIDE_TEMPERATURE, WIDE_PRODUCTION, WIDE_COMPLIANCE, WIDE_VIBRATION)
 
+EVENT_RULES = (
+    ("temp_wide", "minimum", 15.0, 5),
+    ("compliance_wide", "minimum", MINIMUM, 2),
+    ("vibration_wide", "trailing ratio", 1.5, 10),
+)
+
 # Limits by the 5 % and 95 % quantiles; `heartbeat` never reports.
 EVENT_DEVICES = (
     ("view", "browse", "BROWSE", 1, "ct", 2.5, 150.0),
@@ -324,6 +331,26 @@ def compliance_overall(spark, sf_dir):
     return op.compliance_total(windows(spark, sf_dir, WIDE_COMPLIANCE), MINIMUM)
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    metrics = op.metrics_by_definition(
+        telemetry(spark, sf_dir),
+        definition_table(utc(spark), WIDE),
+        common_pane(WIDE),
+        decimals=2,
+    )
+    return op.with_mean(metrics), rule_table(utc(spark), EVENT_RULES)
+
+
+def violations_by_rule(spark, sf_dir):
+    return op.violations_by_rule(*_judged(spark, sf_dir)).select(
+        "metric", "window_start", "mean", "threshold"
+    )
+
+
+def compliance_by_rule(spark, sf_dir):
+    return op.compliance_by_rule(*_judged(spark, sf_dir))
+
+
 def relative_alert(spark, sf_dir):
     return op.alert_history(windows(spark, sf_dir, WIDE_VIBRATION)).select(
         "window_start", "mean", F.round("baseline", 6).alias("baseline"), "status"
@@ -622,6 +649,8 @@ QUERIES: dict[str, Query] = {
     "top5_violations": top_violations,
     "compliance_daily": compliance_daily,
     "compliance_total": compliance_overall,
+    "violations_by_rule": violations_by_rule,
+    "compliance_by_rule": compliance_by_rule,
     "relative_alert": relative_alert,
     "relative_alert_now": relative_alert_now,
     "temperature_alarm": temperature_alarm,

@@ -12,15 +12,7 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.model import (
-    ALERT_RATIO,
-    BASELINE_WINDOWS,
-    CRITICAL_VIOLATIONS,
-    DEVICES,
-    METRICS,
-    MIN_MEAN,
-    MetricDef,
-)
+from tidegauge.model import DEVICES, METRICS, RULES, MetricDef
 
 DEVICE_FIELDS = pa.schema(
     [
@@ -67,14 +59,6 @@ def definition_table(spark: SparkSession, metrics: Iterable[MetricDef] = METRICS
     return _local(spark, rows, DEFINITION_FIELDS)
 
 
-def rule_table(spark: SparkSession) -> DataFrame:
+def rule_table(spark: SparkSession, rules: Sequence[tuple] = RULES) -> DataFrame:
     """Thresholds of the rules per metric."""
-    return _local(
-        spark,
-        [
-            ("temp_window", "minimum", MIN_MEAN, None),
-            ("compliance_window", "minimum", MIN_MEAN, CRITICAL_VIOLATIONS),
-            ("vibration_window", "trailing ratio", ALERT_RATIO, BASELINE_WINDOWS),
-        ],
-        RULE_FIELDS,
-    )
+    return _local(spark, rules, RULE_FIELDS)
