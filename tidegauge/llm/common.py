@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +96,63 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     return every.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )
+
+
+def runs(batches: Iterator[pa.RecordBatch], key: str = "bucket") -> Iterator[pa.Table]:
+    """The rows of each key that has two rows or more, from batches sorted by ``key``.
+
+    Keys of one row, the great majority in candidate tables, are passed over without a
+    loop. One run is held at a time.
+    """
+    held: list[pa.RecordBatch] = []  # the last run so far, of one key
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        begin = np.concatenate([[0], cuts])
+        end = np.concatenate([cuts, [len(keys)]])
+        if held and held[0].column(key)[0].as_py() != keys[0]:
+            yield from _run(held)
+            held = []
+        if held:
+            held.append(batch.slice(0, end[0]))
+            if len(begin) == 1:
+                continue
+            yield from _run(held)
+            begin, end = begin[1:], end[1:]
+        several = np.flatnonzero((end - begin)[:-1] > 1)
+        for a, b in zip(begin[several].tolist(), end[several].tolist(), strict=True):
+            yield pa.Table.from_batches([batch.slice(a, b - a)])
+        held = [batch.slice(begin[-1], end[-1] - begin[-1])]
+    yield from _run(held)
+
+
+def _run(held: list[pa.RecordBatch]) -> Iterator[pa.Table]:
+    whole = pa.Table.from_batches(held) if held else None
+    if whole is not None and whole.num_rows > 1:
+        yield whole
+
+
+def grouped(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest index that each of ``n`` points reaches over the links a-b."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while True:
+            far = new[new]
+            if (far == new).all():
+                break
+            new = far
+        if (new == root).all():
+            return root
+        root = new
+
+
+def with_row_ids(docs: DataFrame, purpose: str) -> DataFrame:
+    """``docs`` as a written table with ``_row``, a number of its own for each row, which
+    stands for the row whether or not its other columns are null or repeated."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), purpose)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, chat, token_files
+from tidegauge.llm import bpe, chat, embeddings, simhash, token_files
 from tidegauge.llm.common import table
 from tidegauge.llm.quality import MEASURES, quality
 from tidegauge.session import shared_folder
@@ -63,6 +63,14 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_of(token_files.read_token_files(spark, path))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, words=3, distance=2)
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = quality(docs, keep=["doc_id"])
@@ -71,11 +79,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embeddings.near_duplicates(rows, cosine=0.93)
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op7_token_files": op7_token_files,
+    "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES = {
