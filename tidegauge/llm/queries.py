@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, chat, embeddings, simhash, token_files
+from tidegauge.llm import bpe, chat, embeddings, html, simhash, token_files
 from tidegauge.llm.common import table
 from tidegauge.llm.quality import MEASURES, quality
 from tidegauge.session import shared_folder
@@ -51,6 +51,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = shared_folder(spark, "token-files")
@@ -87,6 +92,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
+    "op4_html_text": op4_html_text,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
