@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, chat, embeddings, html, simhash, token_files
+from tidegauge.llm import bpe, chat, embeddings, html, lines, packing, simhash, token_files
 from tidegauge.llm.common import table
 from tidegauge.llm.quality import MEASURES, quality
 from tidegauge.session import shared_folder
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return packing.pack_documents(docs, capacity=2048)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +61,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = shared_folder(spark, "token-files")
@@ -90,9 +100,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_html_text": op4_html_text,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
