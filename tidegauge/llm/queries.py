@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bpe, chat, embeddings, html, lines, packing, simhash, token_files
+from tidegauge.llm import (
+    bpe,
+    chat,
+    embeddings,
+    html,
+    language_model,
+    lines,
+    packing,
+    simhash,
+    token_files,
+)
 from tidegauge.llm.common import table
 from tidegauge.llm.quality import MEASURES, quality
 from tidegauge.session import shared_folder
@@ -61,6 +71,11 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return language_model.score(docs)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs)
@@ -104,6 +119,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_chat_format": op3_chat_format,
     "op4_html_text": op4_html_text,
+    "op5_lm_score": op5_lm_score,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
