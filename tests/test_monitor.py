@@ -1,11 +1,13 @@
 """The whole line end to end: readings, streams, revision table, views."""
 
 from datetime import datetime, timedelta
+from threading import Timer
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import reading
+from tidegauge.model import METRICS
 from tidegauge.plans.monitor import line_monitor
 from tidegauge.sources import arrived_after, decode, device_table, read_revisions, read_stream
 from tidegauge.streaming import await_all, run_until_any_ends, start_metrics
@@ -126,8 +128,39 @@ def test_timed_queries_run_until_one_ends(spark, drop_file, tmp_path):
     queries = start_metrics(telemetry, f"{tmp_path}/t", f"{tmp_path}/c", trigger_s=1)
     for query in queries:
         query.processAllAvailable()
-    spark.streams.resetTerminated()
     queries[2].stop()
-    run_until_any_ends(spark, queries)
+    run_until_any_ends(queries)
     assert not any(q.isActive for q in queries)
     assert read_revisions(spark, f"{tmp_path}/t").select("metric").distinct().count() == 3
+
+
+def test_queries_that_ended_earlier_stop_nothing(spark, drop_file, tmp_path):
+    drop_file(reading("cook_temp_1", "00:00:10", 80.0))
+    telemetry = decode(read_stream(spark, "text", drop_file.folder)).drop("payload")
+    await_all(
+        start_metrics(telemetry, f"{tmp_path}/t", f"{tmp_path}/old", [METRICS[0]], available_now=True)
+    )
+    queries = start_metrics(telemetry, f"{tmp_path}/t", f"{tmp_path}/c", METRICS[:2], trigger_s=1)
+    seen = []
+    ender = Timer(3, lambda: (seen.append(all(q.isActive for q in queries)), queries[0].stop()))
+    ender.start()
+    run_until_any_ends(queries, poll_s=0.2)
+    ender.join()
+    assert seen == [True]
+    assert not any(q.isActive for q in queries)
+
+
+def test_failed_query_is_raised_and_stops_the_others(spark, drop_file, tmp_path):
+    drop_file(reading("cook_temp_1", "00:00:10", 80.0))
+    telemetry = decode(read_stream(spark, "text", drop_file.folder)).drop("payload")
+
+    def fail(_stored, _batch_id):
+        raise RuntimeError("sink is down")
+
+    healthy = start_metrics(telemetry, f"{tmp_path}/t", f"{tmp_path}/a", [METRICS[1]], trigger_s=1)
+    broken = start_metrics(
+        telemetry, f"{tmp_path}/t", f"{tmp_path}/b", [METRICS[0]], trigger_s=1, after=fail
+    )
+    with pytest.raises(Exception, match="sink is down"):
+        run_until_any_ends(healthy + broken, poll_s=0.2)
+    assert not healthy[0].isActive

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from tidegauge import operators as op
 from tidegauge.model import METRICS, TEMPERATURE
+from tidegauge.operators.trailing import neighbour_frames
 from tidegauge.operators.windows import common_pane
 from tidegauge.plans import events
 from tidegauge.sources import definition_table, device_table, read_revisions
@@ -18,8 +19,8 @@ SF_DIR = "/root/testdata/sf0.001"
 # Queries of one scan that use more than a top-n.
 ONE_SCAN = [
     n
-    for n in entry_points.queries()
-    if not n.startswith(("stream", "convergence", "published"))
+    for n in events.QUERIES
+    if not n.startswith(("stream", "convergence", "published", "compacted"))
     and n not in ("metric_topic", "series_overlay", "dedup_events")
 ]
 
@@ -88,10 +89,26 @@ def test_tops_are_distributed(spark):
 def test_metric_filter_prunes_directories(spark, tmp_path):
     spark.range(1).selectExpr(
         "'s' site", "now() window_start", "now() window_end", "1D value_sum", "1L value_count",
-        "now() computed_at", "'temp_window' metric", "'r' run_id", "0L batch_id",
-    ).write.partitionBy("metric", "run_id", "batch_id").parquet(f"{tmp_path}/t")
-    text = plan(op.series(read_revisions(spark, f"{tmp_path}/t"), TEMPERATURE.name))
-    assert re.search(r"PartitionFilters: \[isnotnull\(metric", text)
+        "now() computed_at", "'temp_window' metric", "1L run_id", "0L batch_id",
+        "date'2024-01-01' window_date",
+    ).write.partitionBy("metric", "run_id", "batch_id", "window_date").parquet(f"{tmp_path}/t")
+    text = plan(op.series(read_revisions(spark, f"{tmp_path}/t"), TEMPERATURE.name, "2024-01-01"))
+    filters = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(metric" in filters and "(window_date" in filters
+
+
+def test_latest_revision_is_aggregated_by_hash(spark):
+    text = plan(op.latest_revision(events.revisions(spark, SF_DIR)))
+    assert "SortAggregate" not in text
+    assert "SortAggregate" not in plan(entry_points.queries()["temperature_series"](spark, SF_DIR))
+
+
+def test_unlisted_devices_leave_before_the_first_shuffle(spark):
+    listed = definition_table(spark, [events.WIDE_VIBRATION])
+    metric = op.metrics_by_definition(events.telemetry(spark, SF_DIR), listed, 1800)
+    text = plan(metric)
+    below = text[text.rindex("Exchange hashpartitioning") :]
+    assert "LeftSemi" in below and "partial_sum" in text[: text.rindex("LeftSemi")]
 
 
 def test_quality_and_day_prune_directories(spark, tmp_path):
@@ -115,4 +132,37 @@ def test_no_series_is_framed_by_its_key_alone(spark):
         F.col("id").cast("double").alias("mean"),
     )
     text = plan(op.alert_history(windows, ["metric"]))
-    assert len(re.findall(r"hashpartitioning\(metric#\d+L, _(chunk|group)", text)) == 2
+    assert len(re.findall(r"hashpartitioning\(metric#\d+L, (?:_level#\d+, )?_group", text)) == 2
+
+
+def test_sparse_series_are_cut_at_every_level(spark):
+    """At n = 10 and a reading every three minutes, no window group holds more of a series
+    than twice nine rows for each shorter chunk in it."""
+    df = spark.range(20_000).select(
+        F.concat(F.lit("a"), F.col("id") * 0).alias("device_id"),
+        F.timestamp_seconds(F.col("id") * 180).alias("event_time"),
+        F.col("id").cast("double").alias("value"),
+    )
+    groups = neighbour_frames(
+        df, ["device_id"], "event_time", 9, 0, {"rows": F.count(F.lit(1))},
+        chunk_s=(60, 3600, 86_400, 30 * 86_400),
+    )
+    assert groups.filter("rows < 10").count() == 9  # only the first nine lack neighbours
+    seen = [len(x) for x in _groups_seen(df, (60, 3600, 86_400, 30 * 86_400), 9)]
+    assert seen == sorted(seen, reverse=True) and seen[-1] <= 2 * 9 * 2
+    text = plan(op.stuck_readings(df, 10))
+    assert len(re.findall(r"hashpartitioning\(device_id#\d+, (?:_level#\d+, )?_group", text)) == 5
+
+
+def _groups_seen(df, levels, reach):
+    """The rows that reach each level, recomputed plainly."""
+    times = [r[0] for r in df.select(F.unix_seconds("event_time")).orderBy("event_time").collect()]
+    for size in levels:
+        chunks = {}
+        for t in times:
+            chunks.setdefault(t // size, []).append(t)
+        assert max(len(c) for c in chunks.values()) <= 2 * reach * 60
+        times = [t for c in chunks.values() for k, t in enumerate(c) if k < reach or k >= len(c) - reach]
+        yield times
+
+

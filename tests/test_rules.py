@@ -149,8 +149,8 @@ def test_lag_is_null_without_a_readable_last_message(spark):
 
 def test_empty_selection_means_all(spark):
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "device_id string, arrival long")
-    assert op.tail(rows, ["arrival"], "device_id").count() == 2
-    assert op.tail(rows, ["arrival"], "device_id", ["b"]).first().arrival == 2
+    assert op.tail(rows, ["arrival"], "device_id", 200).count() == 2
+    assert op.tail(rows, ["arrival"], "device_id", 200, ["b"]).first().arrival == 2
 
 
 def test_window_bounds(spark):
@@ -210,3 +210,21 @@ def test_rules_come_from_their_table(spark):
     assert [(r.metric, r.violations, r.status) for r in day] == [
         ("compliance_window", 2, "CRITICAL")
     ]
+
+
+def test_sites_are_judged_apart(spark):
+    """Two flat sites are no alert, whatever the other's level."""
+    rows = spark.createDataFrame(
+        [
+            (site, datetime(2024, 1, 1, hour), level)
+            for site, level in (("A", 1.0), ("B", 100.0))
+            for hour in range(12)
+        ],
+        "site string, window_start timestamp, mean double",
+    )
+    now = {tuple(r) for r in op.alert_now(rows, keys=["site"]).collect()}
+    assert now == {("A", "OK", 1.0), ("B", "OK", 100.0)}
+    last = op.last_windows(rows, 8, ["site"]).groupBy("site").count().collect()
+    assert {tuple(r) for r in last} == {("A", 8), ("B", 8)}
+    total = op.compliance_total(rows, 50.0, keys=["site"]).collect()
+    assert {(r.site, r.violations) for r in total} == {("A", 12), ("B", 0)}

@@ -15,9 +15,11 @@ from tidegauge.operators import (
     with_mean,
 )
 from tidegauge.plans.messages import encode
+from tidegauge.session import stream_session
 from tidegauge.sources import (
     decode,
     definition_table,
+    read_compacted,
     read_revisions,
     read_stream,
     read_with_compacted,
@@ -36,6 +38,10 @@ from tidegauge.streaming import (
     start_combined,
     start_metric,
     start_metrics,
+    ProgressLog,
+    recent_progress,
+    retire_batches,
+    retire_versions,
     watermark_report,
 )
 
@@ -93,7 +99,7 @@ def test_late_data_golden(spark, five_files, tmp_path):
     latest = latest_revision(read_revisions(spark, f"{tmp_path}/table"))
     found = {r.window_start.strftime("%H:%M"): (r.value_sum, r.value_count) for r in latest.collect()}
     assert found == {"00:00": (290, 4), "00:02": (141, 2), "00:07": (110, 2), "00:09": (50, 1)}
-    assert sum(p["dropped"] for p in watermark_report(query)) == 1
+    assert sum(p["dropped"] for p in recent_progress(query)) == 1
 
 
 def test_late_rule_looks_at_the_window_end(spark, drop_file, tmp_path):
@@ -150,7 +156,7 @@ def test_new_checkpoint_outranks_the_old_run(spark, drop_file, tmp_path):
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     window = "timestamp'2024-01-01 00:00:00' AS window_start, timestamp'2024-01-01 00:01:00' AS window_end"
     batch = spark.sql(f"SELECT {window}, 5.0D AS value_sum, 2L AS value_count")
-    write = revision_writer(f"{tmp_path}/table", MINUTE, "r1")
+    write = revision_writer(f"{tmp_path}/table", MINUTE, 1)
     for _ in range(3):
         write(batch, 7)
     write(batch.limit(0), 8)
@@ -160,16 +166,73 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
 def test_half_written_batch_is_replaced(spark, tmp_path):
     window = "timestamp'2024-01-01 00:00:00' AS window_start, timestamp'2024-01-01 00:01:00' AS window_end"
     batch = spark.sql(f"SELECT {window}, 5.0D AS value_sum, 2L AS value_count")
-    write = revision_writer(f"{tmp_path}/table", MINUTE, "r1")
+    write = revision_writer(f"{tmp_path}/table", MINUTE, 1)
     write(batch.unionByName(batch), 0)
     write(batch, 0)
     assert revisions(spark, tmp_path) == [(0, "00:00", 5.0, 2)]
 
 
 def test_run_identity_is_bound_to_the_checkpoint(spark, tmp_path):
-    first = run_identity(spark, f"{tmp_path}/a")
-    assert run_identity(spark, f"{tmp_path}/a/") == first
-    assert run_identity(spark, f"{tmp_path}/b") > first
+    table = f"{tmp_path}/t"
+    first = run_identity(spark, f"{tmp_path}/a", table)
+    assert run_identity(spark, f"{tmp_path}/a/", table) == first
+    assert run_identity(spark, f"{tmp_path}/b", table) > first
+
+
+def test_a_new_run_is_later_whatever_the_clock_says(spark, tmp_path, monkeypatch):
+    table = f"{tmp_path}/t"
+    first = run_identity(spark, f"{tmp_path}/a", table)
+    monkeypatch.setattr("time.time", lambda: 0.0)
+    assert run_identity(spark, f"{tmp_path}/b", table) == first + 1
+    assert run_identity(spark, f"{tmp_path}/c", table) == first + 2
+    assert run_identity(spark, f"{tmp_path}/a", table) == first
+
+
+def test_a_batch_writes_no_more_files_than_stated(spark, drop_file, tmp_path):
+    # 40 windows of one day, and state in more parts than files.
+    drop_file(*[reading("c1", f"00:{m:02d}:10", m) for m in range(40)])
+    live = stream_session(spark, 8)
+    lines = read_stream(live, "text", drop_file.folder)
+    for files in (1, 3):
+        query = start_metric(
+            decode(lines).drop("payload"),
+            MINUTE,
+            f"{tmp_path}/t{files}",
+            f"{tmp_path}/c{files}",
+            available_now=True,
+            files=files,
+        )
+        await_all([query])
+        found = list((tmp_path / f"t{files}").glob("**/window_date=2024-01-01/part-*.parquet"))
+        assert 1 <= len(found) <= files
+        assert read_revisions(spark, f"{tmp_path}/t{files}").count() == 40
+
+
+def test_all_drops_of_a_long_run_are_reported(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:09:00", 1))
+    drop_file(reading("c1", "00:09:10", 1))
+    for second in range(6):
+        drop_file(reading("c1", f"00:00:{second:02d}", 1))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = ProgressLog(spark, f"{tmp_path}/progress", block=3)
+    try:
+        query = run(spark, drop_file, MINUTE, tmp_path)
+    finally:
+        log.close()
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    rows = watermark_report(spark, f"{tmp_path}/progress").filter(F.col("query_id") == query.id)
+    assert rows.agg(F.sum("dropped")).first()[0] == 6
+    assert sum(p["dropped"] for p in recent_progress(query)) < 6
+
+
+def test_queries_that_started_are_stopped_if_a_later_one_cannot(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:10", 1))
+    telemetry = source(spark, drop_file)
+    broken = MINUTE.widened(name="broken", size_s=-1, slide_s=-1)
+    before = {q.id for q in spark.streams.active}
+    with pytest.raises(Exception):  # noqa: B017
+        start_metrics(telemetry, f"{tmp_path}/t", f"{tmp_path}/c", [MINUTE, broken], trigger_s=1)
+    assert {q.id for q in spark.streams.active} == before
 
 
 def test_failing_sink_ends_the_query(spark, drop_file, tmp_path):
@@ -296,14 +359,37 @@ def test_landing_keeps_rejects_apart(spark, drop_file, tmp_path):
 
 def test_compacted_table_has_the_same_latest_view(spark, five_files, tmp_path):
     run(spark, five_files, MINUTE, tmp_path)
-    table = read_revisions(spark, f"{tmp_path}/table")
-    compact_revisions(table, f"{tmp_path}/compact")
-    compact = read_revisions(spark, f"{tmp_path}/compact")
-    assert compact.count() == 4
-    latest, again = latest_revision(table), latest_revision(compact)
-    assert latest.exceptAll(again).count() == 0 and again.exceptAll(latest).count() == 0
-    united = latest_revision(read_with_compacted(spark, f"{tmp_path}/table", f"{tmp_path}/compact"))
-    assert united.exceptAll(latest).count() == 0 and united.count() == 4
+    table, compact = f"{tmp_path}/table", f"{tmp_path}/compact"
+    latest = latest_revision(read_revisions(spark, table))
+    before = sorted(map(str, latest.collect()))
+    # Up to the second batch, then up to the last but one; the last stays live.
+    for batch, version in ((1, 1), (3, 2)):
+        assert compact_revisions(spark, table, compact, "minute", 1, batch) == version
+        united = latest_revision(read_with_compacted(spark, table, compact))
+        assert sorted(map(str, united.collect())) == before
+        assert retire_batches(spark, table, "minute", 1, batch) == 2
+        retire_versions(spark, compact, "minute")
+        united = latest_revision(read_with_compacted(spark, table, compact))
+        assert sorted(map(str, united.collect())) == before
+    assert [p.name for p in (tmp_path / "table" / "metric=minute" / "run_id=1").glob("batch_id=*")] == [
+        "batch_id=4"
+    ]
+    assert [p.name for p in (tmp_path / "compact" / "metric=minute").glob("version=*")] == ["version=2"]
+    assert read_compacted(spark, compact).count() == 4
+
+
+def test_compaction_rewrites_only_the_days_it_touches(spark, drop_file, tmp_path):
+    table, compact = f"{tmp_path}/table", f"{tmp_path}/compact"
+    other_day = {"device_id": "c1", "value": 1.0, "timestamp": "2024-01-02T00:00:10Z"}
+    drop_file(reading("c1", "00:00:10", 1))
+    drop_file(other_day)
+    run(spark, drop_file, MINUTE, tmp_path)
+    compact_revisions(spark, table, compact, "minute", 1, 0)
+    retire_batches(spark, table, "minute", 1, 0)
+    compact_revisions(spark, table, compact, "minute", 1, 1)
+    days = {p.parent.name + "/" + p.name for p in (tmp_path / "compact").glob("**/window_date=*")}
+    assert days == {"version=1/window_date=2024-01-01", "version=2/window_date=2024-01-02"}
+    assert retire_versions(spark, compact, "minute") == 0
 
 
 def test_reading_one_metric_lists_only_its_directories(spark, drop_file, tmp_path):
@@ -341,18 +427,28 @@ def test_any_listed_device_moves_the_clock_of_a_definition_stream(spark, drop_fi
     whose_clock(drop_file)
     other = MINUTE.widened(name="x_minute", devices=("x",))
     definitions = definition_table(spark, [MINUTE, other])
-    stream = definition_stream(source(spark, drop_file), definitions, 120)
+    stream = definition_stream(source(spark, drop_file), definitions, [(60, 60)], 120)
     query = start_combined(stream, f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)
     await_all([query])
     assert first_minute(spark, f"{tmp_path}/t") == [1]
-    assert sum(p["dropped"] for p in watermark_report(query)) == 1
+    assert sum(p["dropped"] for p in recent_progress(query)) == 1
 
 
-def test_definition_stream_refuses_too_many_shapes(spark, drop_file):
+def test_definition_stream_takes_any_number_of_shapes(spark, drop_file):
     drop_file(reading("c1", "00:00:05", 1))
     many = [MINUTE.widened(name=f"m{i}", size_s=i, slide_s=i) for i in range(1, 103)]
-    with pytest.raises(ValueError, match="shapes"):
-        definition_stream(source(spark, drop_file), definition_table(spark, many), 120)
+    shapes = [(m.size_s, m.slide_s) for m in many]
+    stream = definition_stream(source(spark, drop_file), definition_table(spark, many), shapes, 120)
+    assert stream.isStreaming and stream.columns[0] == "metric"
+
+
+def test_definition_of_a_shape_without_a_branch_ends_the_query(spark, drop_file, tmp_path):
+    drop_file(reading("c1", "00:00:05", 1))
+    definitions = definition_table(spark, [MINUTE, MINUTE.widened(name="odd", size_s=7, slide_s=7)])
+    stream = definition_stream(source(spark, drop_file), definitions, [(60, 60)], 120)
+    query = start_combined(stream, f"{tmp_path}/t", f"{tmp_path}/c", available_now=True)
+    with pytest.raises(Exception, match="no branch for windows of 7 by 7 seconds"):
+        await_all([query])
 
 
 def test_repeated_batch_of_a_combined_stream_changes_nothing(spark, drop_file, tmp_path):
@@ -390,7 +486,7 @@ def test_state_of_closed_windows_is_evicted(spark, drop_file, tmp_path):
     for minute in range(0, 40, 2):
         drop_file(reading("c1", f"00:{minute:02d}:30", 1))
     query = run(spark, drop_file, MINUTE, tmp_path)
-    assert max(p["state_rows"] for p in watermark_report(query)) <= 4
+    assert max(p["state_rows"] for p in recent_progress(query)) <= 4
 
 
 def test_sites_are_kept_apart(spark, drop_file, tmp_path):

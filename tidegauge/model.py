@@ -27,8 +27,8 @@ TELEMETRY_SCHEMA = T.StructType(
     ]
 )
 
-# Columns stored in the files of the revision table; `metric`, `run_id` and
-# `batch_id` are directory levels.
+# Columns stored in the files of the revision table; `metric`, `run_id`, `batch_id` and
+# `window_date` (the UTC day of the window's start) are directory levels.
 REVISION_FIELDS = T.StructType(
     [
         T.StructField("site", T.StringType()),
@@ -42,12 +42,26 @@ REVISION_FIELDS = T.StructType(
 REVISION_PARTITIONS = T.StructType(
     [
         T.StructField("metric", T.StringType()),
-        T.StructField("run_id", T.StringType()),
+        T.StructField("run_id", T.LongType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("window_date", T.DateType()),
     ]
 )
 REVISION_SCHEMA = T.StructType(REVISION_FIELDS.fields + REVISION_PARTITIONS.fields)
 
+# The compacted table keeps run and batch in its files; `metric`, `version` and
+# `window_date` are its directory levels.
+COMPACTED_SCHEMA = T.StructType(
+    [
+        *REVISION_FIELDS.fields,
+        T.StructField("run_id", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("metric", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("window_date", T.DateType()),
+    ]
+)
+
 # A window of one metric (and site) has one row per revision.
 WINDOW_KEY = ("metric", "site", "window_start", "window_end")
 REVISION_ORDER = ("run_id", "batch_id")
@@ -95,7 +109,7 @@ CRITICAL_VIOLATIONS = 2  # violations that make a day CRITICAL
 BASELINE_WINDOWS = 10  # windows in the trailing baseline, current one included
 WATERMARK_S = 120
 TRIGGER_S = 10
-METRIC_ROWS = 200  # newest messages looked at per metric, and rows of a tail
+TAIL_ROWS = 200  # newest messages shown per metric
 BUFFER_ROWS = 3000  # newest messages kept per stream
 
 TEMPERATURE = MetricDef(

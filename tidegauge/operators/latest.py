@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.model import REVISION_ORDER, WINDOW_KEY
@@ -25,6 +25,18 @@ def latest_per_device(df: DataFrame, arrival: str, key: str = "device_id") -> Da
     )
 
 
+def _total_order(df: DataFrame, order: Sequence[str]) -> Column:
+    """One column that sorts like ``order``, of a fixed width wherever whole numbers allow:
+    aggregation then stays in hash buffers instead of sorting all rows first."""
+    kinds = dict(df.dtypes)
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) == 2 and all(kinds[c] in ("bigint", "int") for c in order):
+        high, low = (F.col(c).cast("decimal(19,0)") for c in order)
+        return (high * F.lit("1" + "0" * 19).cast("decimal(20,0)") + low).cast("decimal(38,0)")
+    return F.struct(*order)
+
+
 def latest_revision(
     revisions: DataFrame,
     keys: Sequence[str] = WINDOW_KEY,
@@ -33,11 +45,13 @@ def latest_revision(
     """The last revision of each window (WIN-2).
 
     ``order`` is the run and then the batch of the query that owns the metric; the
-    time of computation is no order, as it has ties and clocks move.
+    time of computation is no order, as it has ties and clocks move. It must tell the
+    revisions of a window apart, as each field is picked by it on its own.
     """
-    fields = [c for c in revisions.columns if c not in (*keys, *order)]
-    picked = F.max_by(F.struct(*fields, *order), F.struct(*order))
-    return revisions.groupBy(*keys).agg(picked.alias("_last")).select(*keys, "_last.*")
+    last = _total_order(revisions, order)
+    fields = [c for c in revisions.columns if c not in keys]
+    picked = revisions.groupBy(*keys).agg(*[F.max_by(c, last).alias(c) for c in fields])
+    return picked.select(*keys, *[c for c in fields if c not in order], *order)
 
 
 def newest(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -117,12 +117,13 @@ def stuck_readings(
     key: str = "device_id",
     ts: str = "event_time",
     tie: Sequence[str] = (),
-    chunk_s: int = 60,
+    chunk_s: Sequence[int] = (60, 3600, 86_400, 30 * 86_400),
 ) -> DataFrame:
     """Readings that repeat the value of the ``n - 1`` readings before them (EXT-2).
 
-    One task sorts the readings of a device in ``chunk_s`` seconds, however many
-    devices there are; the edges of the chunks grow with time only.
+    One task sorts the readings of a device in a minute; of sparser readings, only those
+    near the ends of a minute, hour, day and month go on to the next longer one, so no
+    task sees more than 2 (n - 1) rows for each of its parts.
     """
     same = (F.col("_values") == n) & (F.col("_low") == F.col("_high"))
     frames = {

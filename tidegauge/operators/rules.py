@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions import compliance_level, severity_name, status_severity
 from tidegauge.model import ALERT_RATIO, BASELINE_WINDOWS, CRITICAL_VIOLATIONS, MIN_MEAN
 from tidegauge.operators.trailing import trailing
+from tidegauge.operators.views import last_windows
 
 
 def sensor_status(readings: DataFrame, devices: DataFrame) -> DataFrame:
@@ -76,10 +77,14 @@ def compliance_by_day(
 
 
 def compliance_total(
-    windows: DataFrame, minimum: float = MIN_MEAN, critical_at: int = CRITICAL_VIOLATIONS
+    windows: DataFrame,
+    minimum: float = MIN_MEAN,
+    critical_at: int = CRITICAL_VIOLATIONS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Violations and level over all windows given; one row, also for none (RUL-4)."""
-    return windows.agg(_violation_count(minimum)).withColumn(
+    """Violations and level over all windows given, per ``keys``; without keys one row,
+    also for no windows (RUL-4)."""
+    return windows.groupBy(*keys).agg(_violation_count(minimum)).withColumn(
         "status", compliance_level(F.col("violations"), critical_at)
     )
 
@@ -135,20 +140,26 @@ def alert_history(
 
 
 def alert_now(
-    windows: DataFrame, ratio: float = ALERT_RATIO, n: int = BASELINE_WINDOWS
+    windows: DataFrame,
+    ratio: float = ALERT_RATIO,
+    n: int = BASELINE_WINDOWS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The alert at the last window, one row; NO DATA without windows (RUL-5).
+    """The alert at the last window, of each of ``keys`` if given (RUL-5).
 
-    Reads the last ``n`` windows only, by a distributed top-n.
+    Without keys one row, NO DATA without windows; windows of several sites must not be
+    judged without the site as a key, as their means are no common series. Reads the
+    last ``n`` windows only, by a distributed top-n.
     """
-    last = windows.select("window_start", "mean").orderBy(F.desc("window_start")).limit(n)
-    found = last.agg(
+    last = last_windows(windows.select(*keys, "window_start", "mean"), n, keys)
+    found = last.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("windows"),
         F.max_by("mean", "window_start").alias("value"),
         F.avg("mean").alias("baseline"),
     )
     alert = (F.col("windows") >= n) & (F.col("value") > F.col("baseline") * ratio)
     return found.select(
+        *keys,
         F.when(F.col("windows") == 0, "NO DATA")
         .when(alert, "ALERT")
         .otherwise("OK")

@@ -15,7 +15,7 @@ def neighbour_frames(
     before: int,
     after: int,
     aggregates: Mapping[str, Column],
-    chunk_s: int = 7 * 86_400,
+    chunk_s: int | Sequence[int] = 7 * 86_400,
     tie: Sequence[str] = (),
     keep: Column | None = None,
 ) -> DataFrame:
@@ -26,50 +26,63 @@ def neighbour_frames(
     rows whose aggregates satisfy it.
 
     A window over the keys alone would put a whole series into one task. Here each
-    key is cut into time chunks, and only rows near the ends of a chunk look beyond
-    it. Their frames are taken in a second window over the edges, the first and last
-    ``before + after`` rows of every chunk, which hold all rows such a frame can
-    reach; the edges of a key grow with the number of its chunks. Other rows pass
-    that window in their own chunks, or leave before it by ``keep``. The input is
-    read once.
+    key is cut into time chunks, and only the edges of a chunk, its first and last
+    ``before + after`` rows, which hold all rows that a frame across its ends can
+    reach, go on to the next, longer chunks of ``chunk_s``, and at last to a window
+    over the key. So behind the first level a task sees of a key at most twice
+    ``before + after`` rows for each shorter chunk in a longer one, at any density, and
+    the last window as many for each longest chunk. Other rows pass the later windows in
+    their own chunks, or leave before them by ``keep``. The input is read once.
     """
+    levels = [chunk_s] if isinstance(chunk_s, int) else list(chunk_s)
     reach = before + after
     by_order = [F.col(order), *[F.col(t) for t in tie]]
-
-    def window(group: str):
-        return Window.partitionBy(*keys, group).orderBy(*by_order)
-
-    def frames(group: str) -> dict[str, Column]:
-        rows = window(group).rowsBetween(-before, after)
-        return {name: agg.over(rows) for name, agg in aggregates.items()}
+    window = Window.partitionBy(*keys, "_level", "_group").orderBy(*by_order)
 
     def followed_by(n: int) -> Column:
-        return F.lead(F.lit(True), n, False).over(window("_chunk"))
+        return F.lead(F.lit(True), n, False).over(window)
 
-    chunked = (
-        df.filter(F.col(order).isNotNull())
-        .withColumn("_chunk", F.window(order, f"{chunk_s} seconds")["start"])
-        .withColumns(
+    def chunk(size_s: int) -> Column:
+        return F.window(order, f"{size_s} seconds")["start"]
+
+    rows = df.filter(F.col(order).isNotNull()).withColumns(
+        {"_level": F.lit(0), "_group": chunk(levels[0])}
+    )
+    names = list(aggregates)
+    for level in range(len(levels) + 1 if reach else 1):
+        here = F.col("_level") == level
+        over = {n: agg.over(window.rowsBetween(-before, after)) for n, agg in aggregates.items()}
+        found = rows.withColumns(
             {
-                "_nth": F.row_number().over(window("_chunk")),
+                "_nth": F.row_number().over(window),
                 "_whole": followed_by(after),
                 "_inner": followed_by(reach),
-                **frames("_chunk"),
+                **{f"_{n}": v for n, v in over.items()},
             }
         )
-    )
-    if reach:
-        edge = (F.col("_nth") <= reach) | ~F.col("_inner")
+        # Rows whose frame an earlier level has seen whole keep what it found.
+        open_ = here & ~F.col("_done") if level else here
+        rows = found.withColumns(
+            {n: F.when(open_, F.col(f"_{n}")).otherwise(F.col(n)) for n in names}
+            if level
+            else {n: F.col(f"_{n}") for n in names}
+        )
+        if level == len(levels) or not reach:
+            break
+        whole = here & (F.col("_nth") > before) & F.col("_whole")
+        edge = here & ((F.col("_nth") <= reach) | ~F.col("_inner"))
         if keep is not None:
-            chunked = chunked.filter(edge | keep)
-        complete = (F.col("_nth") > before) & F.col("_whole")
-        chunked = chunked.withColumn("_group", F.when(~edge, F.col("_chunk"))).withColumns(
+            rows = rows.filter(edge | keep)
+        following = chunk(levels[level + 1]) if level + 1 < len(levels) else None
+        longer = F.lit(None) if following is None else following
+        rows = rows.withColumns(
             {
-                name: F.when(complete, F.col(name)).otherwise(over_edges)
-                for name, over_edges in frames("_group").items()
+                "_done": (F.col("_done") | whole) if level else whole,
+                "_group": F.when(edge, longer).otherwise(F.col("_group")),
+                "_level": F.when(edge, level + 1).otherwise(F.col("_level")),
             }
-        )
-    result = chunked.select(*df.columns, *aggregates)
+        ).drop("_nth", "_whole", "_inner", *[f"_{n}" for n in names])
+    result = rows.select(*df.columns, *aggregates)
     return result if keep is None else result.filter(keep)
 
 

@@ -4,36 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import seconds_between
-from tidegauge.model import METRIC_ROWS
 from tidegauge.operators.latest import latest_revision, newest
 from tidegauge.operators.windows import with_mean
 
 
-def series(
-    revisions: DataFrame,
-    metric: str,
-    pre_limit: int | None = None,
-    order: Sequence[str] = ("run_id", "batch_id"),
-) -> DataFrame:
+def series(revisions: DataFrame, metric: str, first_day: str | None = None) -> DataFrame:
     """Latest revision per window of one metric, with its mean (RUL-8, RUL-9, FLT-4).
 
-    ``pre_limit`` keeps only that many of the newest revisions *before* the windows
-    are deduplicated, as a bounded client buffer does; by default nothing is cut.
-    Sort by ``window_start`` where it is shown (SRT-1, SRT-2).
+    ``first_day`` leaves out windows that start before that UTC day; where revisions
+    have a ``window_date`` its directories are not even listed as files to read. Sort
+    by ``window_start`` where it is shown (SRT-1, SRT-2).
     """
     rows = revisions.filter(F.col("metric") == metric)
-    if pre_limit is not None:
-        rows = newest(rows, [*order, "window_start"], pre_limit)
+    if first_day is not None:
+        day = F.col("window_date") if "window_date" in rows.columns else F.to_date("window_start")
+        rows = rows.filter(day >= F.lit(first_day).cast("date"))
     return with_mean(latest_revision(rows))
 
 
-def last_windows(windows: DataFrame, n: int) -> DataFrame:
-    """The last ``n`` windows in ascending order (LIM-2)."""
-    return windows.orderBy(F.desc("window_start")).limit(n).orderBy("window_start")
+def last_windows(windows: DataFrame, n: int, keys: Sequence[str] = ()) -> DataFrame:
+    """The last ``n`` windows, of each of ``keys`` if given, in ascending order (LIM-2).
+
+    With keys every task keeps ``n`` rows of a key before the shuffle.
+    """
+    if not keys:
+        return windows.orderBy(F.desc("window_start")).limit(n).orderBy("window_start")
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc("window_start"))
+    ranked = windows.withColumn("_nth", F.row_number().over(newest_first))
+    return ranked.filter(F.col("_nth") <= n).drop("_nth").orderBy(*keys, "window_start")
 
 
 def overlay(
@@ -65,8 +67,8 @@ def tail(
     df: DataFrame,
     arrival: Sequence[str],
     column: str,
+    n: int,
     selected: Sequence[str] = (),
-    n: int = METRIC_ROWS,
 ) -> DataFrame:
     """Newest ``n`` rows of a stream, for the selected values or for all (RUL-11, FLT-6)."""
     rows = df.filter(F.col(column).isin(*selected)) if selected else df

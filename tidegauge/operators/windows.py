@@ -136,9 +136,11 @@ def metrics_by_definition(
 ) -> DataFrame:
     """All metrics of a definition table over stored telemetry, in one scan (EXT-3).
 
-    ``definitions`` has ``metric, device_id, size_s, slide_s``. Readings shrink to
-    panes per device before they meet the definitions, so the join and the spread
-    over overlapping windows work on panes, whatever the number of readings.
+    ``definitions`` has ``metric, device_id, size_s, slide_s``. Readings of devices that
+    no definition lists leave before anything is shuffled. The rest shrinks to panes per
+    device before it meets the definitions, so the join and the spread over overlapping
+    windows work on panes, whatever the number of readings; a pane becomes as many rows
+    as windows cover it (size / slide of each definition).
     ``pane_s`` must divide every size and slide; a definition that breaks this ends
     the query.
     """
@@ -153,7 +155,8 @@ def metrics_by_definition(
             for c in ("size_s", "slide_s")
         ],
     )
-    parts = panes(df, pane_s, ("device_id", *keys))
+    listed = df.join(definitions.select("device_id").distinct(), "device_id", "left_semi")
+    parts = panes(listed, pane_s, ("device_id", *keys))
     start = micros(F.col("window_start"))
     newest_start = start - F.pmod(start, F.col("slide_us"))
     oldest_reach = start - F.col("size_us") + pane_us

@@ -57,6 +57,17 @@ HOURLY = windows(COUNTER, 3600, 3600)
 VIB_2M = windows(VIBRATION, 120, 30)
 VIB_2H = windows(VIBRATION, 7200, 1800)
 
+
+
+def by_site(where: str, size_s: int, slide_s: int) -> str:
+    rows = windows(where, size_s, slide_s, "user_id")
+    return f"(SELECT * EXCLUDE user_id, CAST(user_id AS VARCHAR) AS site FROM {rows})"
+
+
+BY_SITE_VIBRATION = by_site(VIBRATION, 7200, 1800)
+BY_SITE_HOURLY = by_site(COUNTER, 3600, 3600)
+BY_SITE_COMPLIANCE = by_site(PAIR, 3600, 3600)
+
 TOTALS = "window_start, window_end, value_sum, value_count"
 MEANS = "window_start, window_end, mean"
 
@@ -262,11 +273,6 @@ FROM {VIB_2H} ORDER BY window_start DESC LIMIT 20""",
     "temperature_series": f"SELECT window_start, value_sum, value_count, mean FROM {TEMP_1H}",
     "production_series": f"SELECT window_start, value_sum, value_count, mean FROM {HOURLY}",
     "vibration_series": f"SELECT window_start, value_sum, value_count, mean FROM {VIB_2H}",
-    "newest_200_series": f"""SELECT window_start, value_sum, value_count,
-  value_sum / value_count AS mean
-FROM (SELECT * FROM {revisions('temp_wide', PAIR, 3600, 1800)}
-      ORDER BY batch_id DESC, window_start DESC LIMIT 200)
-QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY batch_id DESC) = 1""",
     "series_overlay": f"""SELECT ts, value, 'raw' AS trace FROM events WHERE {PAIR}
 UNION ALL SELECT window_end, mean, '1-hour mean' FROM {TUMBLING_1H}""",
     "recent_readings": f"""SELECT event_type AS device_id, value, ts AS event_time, event_id
@@ -325,4 +331,26 @@ FROM events""",
 WHERE event_type NOT IN ('signup', 'error')
   AND NOT (event_type = 'click' AND value > 100) AND NOT (event_type = 'view' AND value < 5)""",
     "convergence_diff": CONVERGENCE,
+    "compacted_latest": f"SELECT {TOTALS} FROM {TEMP_1H}",
+    "stream_revisions": f"SELECT {TOTALS} FROM {HOURLY}",
+    "stream_combined": metrics(
+        ("temp_wide", "production_wide"), "window_start, value_sum, value_count"
+    ),
+    "arrived_after": f"""SELECT event_id, event_type AS device_id, value
+FROM {ARRIVED} WHERE arrival_time > {MIDDLE}""",
+    "metric_options": f"SELECT DISTINCT metric FROM ({ALL_REVISIONS})",
+    "alert_by_site": f"""SELECT site,
+  CASE WHEN count(*) >= 10 AND max_by(mean, window_start) > avg(mean) * 1.5
+       THEN 'ALERT' ELSE 'OK' END AS status, max_by(mean, window_start) AS value
+FROM (SELECT * FROM {BY_SITE_VIBRATION}
+      QUALIFY row_number() OVER (PARTITION BY site ORDER BY window_start DESC) <= 10)
+GROUP BY site""",
+    "last_windows_by_site": f"""SELECT site, window_start, value_sum FROM {BY_SITE_HOURLY}
+QUALIFY row_number() OVER (PARTITION BY site ORDER BY window_start DESC) <= 8""",
+    "current_hour_by_site": f"""SELECT site, max(window_start) AS window_start,
+  CAST(trunc(max_by(value_sum, window_start)) AS BIGINT) AS total
+FROM {BY_SITE_HOURLY} GROUP BY site""",
+    "compliance_by_site": f"""SELECT site, count(*) FILTER (mean < 20) AS violations,
+  {level('count(*) FILTER (mean < 20)')} AS status
+FROM {BY_SITE_COMPLIANCE} GROUP BY site""",
 }

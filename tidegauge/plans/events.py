@@ -19,6 +19,7 @@ from tidegauge.model import (
     BUFFER_ROWS,
     COMPLIANCE,
     PRODUCTION,
+    TAIL_ROWS,
     TEMPERATURE,
     VIBRATION,
     MetricDef,
@@ -26,22 +27,30 @@ from tidegauge.model import (
 from tidegauge.operators.windows import common_pane
 from tidegauge.plans.messages import encode, metric_topic
 from tidegauge.plans.replay import replay
-from tidegauge.session import shared_folder, stream_session, utc
+from tidegauge.session import remove, shared_folder, stream_session, utc
 from tidegauge.sources import (
+    arrived_after,
     decode,
     definition_table,
     device_table,
     read_revisions,
+    read_with_compacted,
     reject_reason,
     rule_table,
+    stream_revisions,
     to_telemetry,
 )
 from tidegauge.streaming import (
+    await_all,
+    combined_stream,
+    compact_revisions,
     definition_stream,
     land_telemetry,
     latest_reading_query,
     publish,
     read_landed,
+    retire_batches,
+    retire_versions,
     start_combined,
     start_metrics,
 )
@@ -152,7 +161,7 @@ def revisions(
         "window_end",
         "value_sum",
         "value_count",
-        F.lit("r0").alias("run_id"),
+        F.lit(1).cast("long").alias("run_id"),
         F.floor(fn.micros(F.col("batch_start")) / (batch_s * 1_000_000)).alias("batch_id"),
     )
 
@@ -332,13 +341,15 @@ def compliance_overall(spark, sf_dir):
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Means of the metrics that have a minimum, and the rules; windows of other metrics
+    are not built."""
+    rules = rule_table(utc(spark), EVENT_RULES)
+    ruled = rules.filter(F.col("rule") == "minimum").select("metric")
+    wanted = definition_table(utc(spark), WIDE).join(ruled, "metric", "left_semi")
     metrics = op.metrics_by_definition(
-        telemetry(spark, sf_dir),
-        definition_table(utc(spark), WIDE),
-        common_pane(WIDE),
-        decimals=2,
+        telemetry(spark, sf_dir), wanted, common_pane(WIDE), decimals=2
     )
-    return op.with_mean(metrics), rule_table(utc(spark), EVENT_RULES)
+    return op.with_mean(metrics), rules
 
 
 def violations_by_rule(spark, sf_dir):
@@ -383,9 +394,9 @@ def last_vibrations(spark, sf_dir):
 # --- Views ---------------------------------------------------------------------
 
 
-def metric_series(metric: MetricDef, pre_limit: int | None = None) -> Query:
+def metric_series(metric: MetricDef) -> Query:
     def run(spark, sf_dir):
-        rows = op.series(revisions(spark, sf_dir, [metric]), metric.name, pre_limit)
+        rows = op.series(revisions(spark, sf_dir, [metric]), metric.name)
         return rows.select("window_start", "value_sum", "value_count", "mean")
 
     return run
@@ -403,12 +414,12 @@ def recent_readings(spark, sf_dir):
 
 
 def telemetry_tail(spark, sf_dir):
-    return op.tail(telemetry(spark, sf_dir).drop("site"), ["event_id"], "device_id", PAIR)
+    return op.tail(telemetry(spark, sf_dir).drop("site"), ["event_id"], "device_id", TAIL_ROWS, PAIR)
 
 
 def metric_tail(spark, sf_dir):
     rows = op.tail(
-        revisions(spark, sf_dir), ["batch_id", "metric", "window_start"], "metric"
+        revisions(spark, sf_dir), ["batch_id", "metric", "window_start"], "metric", TAIL_ROWS
     )
     return rows.select("metric", "window_start", "batch_id", "value_sum", "value_count")
 
@@ -476,6 +487,8 @@ def deduplicated(spark, sf_dir):
 
 # --- Streams -------------------------------------------------------------------
 
+#: Parts of the streaming state of these queries: a few, as their windows are few.
+STATE_PARTS = 4
 ONE_CUT = ("2024-01-12 00:00:00",)
 # Just before the counter flushes what it held since quarter to the hour.
 BEFORE_FLUSH = ("2024-01-05 10:29:00", "2024-01-15 01:29:00", "2024-01-24 00:29:00")
@@ -508,14 +521,32 @@ def _streamed(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Latest view of a revision table that streaming queries wrote."""
+    return _latest_view(spark, _streamed_table(spark, sf_dir, metrics, cuts, keys))
+
+
+def _wanted(spark: SparkSession, sf_dir: str, metrics: Sequence[MetricDef], *keys: str) -> DataFrame:
+    """Arrivals of the metrics' devices, with the columns their streams read."""
+    names = sorted({d for m in metrics for d in m.devices})
+    rows = arrivals(stream_session(spark, STATE_PARTS), sf_dir)
+    rows = rows.filter(F.col("device_id").isin(*names))
+    return _instants(rows.select("device_id", "value", "event_time", "arrival_time", *keys))
+
+
+def _streamed_table(
+    spark: SparkSession,
+    sf_dir: str,
+    metrics: Sequence[MetricDef],
+    cuts: Sequence[str],
+    keys: Sequence[str] = (),
+) -> str:
     table, checkpoints, landing = _folders(spark, "revisions", "checkpoints", "landing")
-    stored = _instants(arrivals(stream_session(spark), sf_dir))
 
     def start(stream: DataFrame):
         return start_metrics(stream, table, checkpoints, metrics, keys=keys, available_now=True)
 
-    replay(stored, "arrival_time", cuts, landing, start)
-    return _latest_view(spark, table)
+    stored = _wanted(spark, sf_dir, metrics, *keys)
+    replay(stored, "arrival_time", cuts, landing, start, [checkpoints])
+    return table
 
 
 def stream_latest(metric: MetricDef) -> Query:
@@ -557,14 +588,15 @@ def stream_by_site(spark, sf_dir):
 def stream_definitions(spark, sf_dir):
     """The same metrics from rows of a definition table, in one query."""
     table, checkpoint, landing = _folders(spark, "revisions", "checkpoint", "landing")
-    stored = _instants(arrivals(stream_session(spark), sf_dir))
+    stored = _wanted(spark, sf_dir, WIDE)
+    shapes = [(m.size_s, m.slide_s) for m in WIDE]
 
     def start(stream: DataFrame):
         definitions = definition_table(stream.sparkSession, WIDE)
-        metrics = definition_stream(stream, definitions, 2 * HOUR, decimals=2)
+        metrics = definition_stream(stream, definitions, shapes, 2 * HOUR, decimals=2)
         return [start_combined(metrics, table, checkpoint, available_now=True)]
 
-    replay(stored, "arrival_time", ONE_CUT, landing, start)
+    replay(stored, "arrival_time", ONE_CUT, landing, start, [checkpoint, f"{checkpoint}-run"])
     return _latest_view(spark, table).select(
         "metric", "window_start", "value_sum", "value_count"
     )
@@ -572,13 +604,13 @@ def stream_definitions(spark, sf_dir):
 
 def stream_latest_readings(spark, sf_dir):
     path, checkpoint, landing = _folders(spark, "latest", "checkpoint", "landing")
-    stored = _instants(arrivals(stream_session(spark), sf_dir))
+    stored = _instants(arrivals(stream_session(spark, STATE_PARTS), sf_dir).drop("site"))
 
     def start(stream: DataFrame):
         rows = stream.select("device_id", "value", "event_time", "event_id")
         return [latest_reading_query(rows, "event_id", path, checkpoint, available_now=True)]
 
-    replay(stored, "arrival_time", ONE_CUT, landing, start)
+    replay(stored, "arrival_time", ONE_CUT, landing, start, [checkpoint])
     rows = op.latest_revision(utc(spark).read.parquet(path), ("device_id",), ("batch_id",))
     return _local(rows).select("device_id", "value", "event_time", "event_id")
 
@@ -586,7 +618,7 @@ def stream_latest_readings(spark, sf_dir):
 def stream_deduplicated(spark, sf_dir):
     """Errors are sent twice; the copies are suppressed within the watermark."""
     path, checkpoint, landing = _folders(spark, "readings", "checkpoint", "landing")
-    once = _instants(arrivals(stream_session(spark), sf_dir))
+    once = _instants(arrivals(stream_session(spark, STATE_PARTS), sf_dir).drop("site", "event_id"))
     sent = once.unionByName(once.filter(F.col("device_id") == "error"))
 
     def start(stream: DataFrame):
@@ -600,25 +632,103 @@ def stream_deduplicated(spark, sf_dir):
             .start()
         ]
 
-    replay(sent, "arrival_time", ONE_CUT, landing, start)
+    replay(sent, "arrival_time", ONE_CUT, landing, start, [checkpoint])
     return _local(utc(spark).read.parquet(path))
 
 
 def stream_landed(spark, sf_dir):
     """Payloads decoded once and landed; the usable ones."""
     path, checkpoint, landing = _folders(spark, "telemetry", "checkpoint", "landing")
-    live = stream_session(spark)
+    live = stream_session(spark, STATE_PARTS)
     sent = faulty_payloads(live, sf_dir).withColumn("arrival_time", F.col("ts").cast("timestamp"))
 
     def start(stream: DataFrame):
         decoded = decode(stream.select("payload"), "payload")
         return [land_telemetry(decoded, path, checkpoint, available_now=True)]
 
-    replay(sent.drop("ts"), "arrival_time", ONE_CUT, landing, start)
+    replay(sent.drop("ts"), "arrival_time", ONE_CUT, landing, start, [checkpoint])
     landed = read_landed(utc(spark), path).select("device_id", "value", "event_time")
     return _local(landed)
 
 
+def compacted_latest(spark, sf_dir):
+    """A streamed table that was compacted in two steps and relieved of what that replaced."""
+    live = utc(spark)
+    table = _streamed_table(spark, sf_dir, [WIDE_TEMPERATURE], ONE_CUT)
+    (compacted,) = _folders(spark, "compacted")
+    name = WIDE_TEMPERATURE.name
+    for batch in (0, 1):
+        compact_revisions(live, table, compacted, name, 1, batch)
+        retire_batches(live, table, name, 1, batch)
+        retire_versions(live, compacted, name)
+    view = _local(op.latest_revision(read_with_compacted(live, table, compacted)))
+    return view.select("window_start", "window_end", "value_sum", "value_count")
+
+
+def revision_stream(spark, sf_dir):
+    """The revision table read incrementally by another stream, which keeps its latest view."""
+    live = stream_session(spark, STATE_PARTS)
+    table = _streamed_table(spark, sf_dir, [WIDE_PRODUCTION], ONE_CUT)
+    path, checkpoint = _folders(spark, "revision-copy", "checkpoint")
+    copy = (
+        stream_revisions(live, table)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    await_all([copy])
+    remove(live, checkpoint)
+    view = _local(op.latest_revision(utc(spark).read.parquet(path).drop("window_date")))
+    return view.select("window_start", "window_end", "value_sum", "value_count")
+
+
+def combined_metrics(spark, sf_dir):
+    """Two metrics in one query; the slower one's watermark rules."""
+    table, checkpoint, landing = _folders(spark, "revisions", "checkpoint", "landing")
+    metrics = (WIDE_TEMPERATURE, WIDE_PRODUCTION)
+
+    def start(stream: DataFrame):
+        return [start_combined(combined_stream(stream, metrics), table, checkpoint, available_now=True)]
+
+    stored = _wanted(spark, sf_dir, metrics)
+    replay(stored, "arrival_time", ONE_CUT, landing, start, [checkpoint, f"{checkpoint}-run"])
+    return _latest_view(spark, table).select("metric", "window_start", "value_sum", "value_count")
+
+
+def arrived_later(spark, sf_dir):
+    """Readings that a reader which starts at the middle of the month would get."""
+    rows = arrivals(spark, sf_dir).drop("site")
+    return arrived_after(rows, "arrival_time", moment(MIDDLE)).select("event_id", "device_id", "value")
+
+
+def metric_options(spark, sf_dir):
+    return op.options(revisions(spark, sf_dir), "metric")
+
+
+def _by_site(spark, sf_dir, metric: MetricDef):
+    return op.with_mean(op.metric_totals(telemetry(spark, sf_dir), metric, ["site"]))
+
+
+def alert_by_site(spark, sf_dir):
+    return op.alert_now(_by_site(spark, sf_dir, WIDE_VIBRATION), keys=["site"])
+
+
+def last_windows_by_site(spark, sf_dir):
+    rows = op.last_windows(_by_site(spark, sf_dir, WIDE_PRODUCTION), 8, ["site"])
+    return rows.select("site", "window_start", "value_sum")
+
+
+def current_hour_by_site(spark, sf_dir):
+    now = op.current_window(_by_site(spark, sf_dir, WIDE_PRODUCTION), "value_sum", ["site"])
+    return now.select("site", "window_start", F.col("value_sum").cast("long").alias("total"))
+
+
+def compliance_by_site(spark, sf_dir):
+    return op.compliance_total(_by_site(spark, sf_dir, WIDE_COMPLIANCE), MINIMUM, keys=["site"])
+
+
 QUERIES: dict[str, Query] = {
     "sliding_sum_count_1h_30m": sliding(PAIR, HOUR, HOUR // 2),
     "sliding_sum_count_1m_30s": sliding(PAIR, 60, 30),
@@ -660,7 +770,6 @@ QUERIES: dict[str, Query] = {
     "temperature_series": metric_series(WIDE_TEMPERATURE),
     "production_series": metric_series(WIDE_PRODUCTION),
     "vibration_series": metric_series(WIDE_VIBRATION),
-    "newest_200_series": metric_series(WIDE_TEMPERATURE, pre_limit=200),
     "series_overlay": series_overlay,
     "recent_readings": recent_readings,
     "tail_filtered": telemetry_tail,
@@ -687,4 +796,13 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_deduplicated,
     "stream_landed": stream_landed,
     "convergence_diff": stream_convergence,
+    "compacted_latest": compacted_latest,
+    "stream_revisions": revision_stream,
+    "stream_combined": combined_metrics,
+    "arrived_after": arrived_later,
+    "metric_options": metric_options,
+    "alert_by_site": alert_by_site,
+    "last_windows_by_site": last_windows_by_site,
+    "current_hour_by_site": current_hour_by_site,
+    "compliance_by_site": compliance_by_site,
 }

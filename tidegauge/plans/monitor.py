@@ -12,6 +12,7 @@ from tidegauge.model import (
     COMPLIANCE,
     MIN_MEAN,
     PRODUCTION,
+    TAIL_ROWS,
     TEMPERATURE,
     VIBRATION,
 )
@@ -44,17 +45,21 @@ def line_monitor(
     selected_devices: Sequence[str] = (),
     selected_metrics: Sequence[str] = (),
     minimum: float = MIN_MEAN,
+    keys: Sequence[str] = (),
+    first_day: str | None = None,
 ) -> dict[str, DataFrame]:
     """The views by name; nothing runs before one of them is read.
 
     ``telemetry`` has a unique ``arrival`` order. ``as_of`` is the time that "now"
-    stands for.
+    stands for. ``keys`` (``("site",)``) gives every metric view per site; it is needed
+    wherever the revisions carry sites. ``first_day`` bounds the days of the metric
+    views, and with them the directories that are read.
     """
     latest = latest_per_device(telemetry.select("device_id", "value", "event_time", arrival), arrival)
-    temperature = series(revisions, TEMPERATURE.name)
-    production = series(revisions, PRODUCTION.name)
-    compliance = series(revisions, COMPLIANCE.name)
-    vibration = series(revisions, VIBRATION.name)
+    temperature = series(revisions, TEMPERATURE.name, first_day)
+    production = series(revisions, PRODUCTION.name, first_day)
+    compliance = series(revisions, COMPLIANCE.name, first_day)
+    vibration = series(revisions, VIBRATION.name, first_day)
     broken = violations(compliance, minimum)
 
     def raw_of(metric):
@@ -70,25 +75,31 @@ def line_monitor(
         "sensors": sensors,
         "stages": stage_status(latest, devices),
         "mean_temperature": temperature,
-        "temperature_alarm": below_minimum(temperature, minimum),
+        "temperature_alarm": below_minimum(temperature, minimum, keys),
         "temperature_chart": overlay(raw_of(TEMPERATURE), temperature),
-        "current_hour": current_window(production, "value_sum").withColumn(
+        "current_hour": current_window(production, "value_sum", keys).withColumn(
             "value_sum", F.col("value_sum").cast("long")
         ),
-        "last_hours": last_windows(production, 8).withColumn("hour", clock(F.col("window_start"))),
-        "compliance": compliance_total(compliance, minimum),
-        "compliance_days": compliance_by_day(compliance, minimum),
+        "last_hours": last_windows(production, 8, keys).withColumn("hour", clock(F.col("window_start"))),
+        "compliance": compliance_total(compliance, minimum, keys=keys),
+        "compliance_days": compliance_by_day(compliance, minimum, keys=keys),
         "violations": broken.orderBy(F.desc("window_start")),
         "top_violations": broken.orderBy(F.desc("window_start"))
         .limit(5)
-        .select("window_start", round_half_even(F.col("mean")).alias("mean")),
+        .select(*keys, "window_start", round_half_even(F.col("mean")).alias("mean")),
         "vibration": vibration,
-        "vibration_alert": alert_now(vibration),
-        "vibration_chart": overlay(raw_of(VIBRATION), last_windows(vibration, 20)),
+        "vibration_alert": alert_now(vibration, keys=keys),
+        "vibration_chart": overlay(raw_of(VIBRATION), last_windows(vibration, 20, keys)),
         "device_options": options(telemetry, "device_id"),
         "metric_options": options(revisions, "metric"),
-        "telemetry_tail": tail(telemetry, [arrival], "device_id", selected_devices),
+        "telemetry_tail": tail(
+            telemetry, [arrival], "device_id", TAIL_ROWS, selected_devices
+        ),
         "metric_tail": tail(
-            revisions, ["computed_at", "run_id", "batch_id"], "metric", selected_metrics
+            revisions,
+            ["computed_at", "run_id", "batch_id"],
+            "metric",
+            TAIL_ROWS,
+            selected_metrics,
         ),
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,12 +55,13 @@ def utc(spark: SparkSession) -> SparkSession:
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A UTC sibling session whose streaming state lives in RocksDB.
 
-    The state has ``partitions`` parts, by default one per core of the cluster: each
-    is a store of its own that every batch opens, so the number that suits batch
-    shuffles is too high. A checkpoint keeps the number it began with. The caller's
-    own settings stay as they are.
+    The state has ``partitions`` parts, or as many as the session's
+    ``spark.sql.shuffle.partitions`` says: each is a store of its own that every batch
+    opens, so a stream does best with fewer than batch shuffles. A checkpoint keeps the
+    number it began with, so it is never taken from the cores of the moment. The
+    caller's own settings stay as they are.
     """
-    partitions = partitions or spark.sparkContext.defaultParallelism
+    partitions = partitions or spark.conf.get("spark.sql.shuffle.partitions")
     return _sibling(
         spark,
         **{
@@ -73,14 +73,24 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
-
-    Only a local master may go without that setting (tests); there a temporary
-    folder of this machine is as shared as it gets.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidegauge-")
+    """A new folder below the cluster's ``spark.checkpoint.dir``, or below the warehouse
+    where that is not set: both are shared by the driver and all executors."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{base.rstrip('/')}/tidegauge/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder of any store that Spark reads; one that is not there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in ``path``; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(place) if s.isDirectory())

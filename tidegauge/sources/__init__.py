@@ -1,5 +1,10 @@
 from tidegauge.sources.dimensions import definition_table, device_table, rule_table
-from tidegauge.sources.revisions import read_revisions, read_with_compacted, stream_revisions
+from tidegauge.sources.revisions import (
+    read_compacted,
+    read_revisions,
+    read_with_compacted,
+    stream_revisions,
+)
 from tidegauge.sources.telemetry import (
     arrived_after,
     decode,
@@ -18,6 +23,7 @@ __all__ = [
     "read_revisions",
     "read_stream",
     "read_table",
+    "read_compacted",
     "read_with_compacted",
     "reject_reason",
     "rule_table",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.model import REVISION_SCHEMA
+from tidegauge.model import COMPACTED_SCHEMA, REVISION_SCHEMA
 
 
 def read_revisions(spark: SparkSession, path: str, metrics: Sequence[str] = ()) -> DataFrame:
@@ -19,13 +19,21 @@ def read_revisions(spark: SparkSession, path: str, metrics: Sequence[str] = ())
     return reader.parquet(*[f"{path}/metric={m}" for m in metrics] or [path])
 
 
+def read_compacted(spark: SparkSession, path: str, metrics: Sequence[str] = ()) -> DataFrame:
+    """The compacted past, of some metrics or of all; a day may be there in two versions
+    until the older is retired, which views do not see as they take the last revision."""
+    reader = spark.read.schema(COMPACTED_SCHEMA).option("basePath", path)
+    rows = reader.parquet(*[f"{path}/metric={m}" for m in metrics] or [path])
+    return rows.select(*REVISION_SCHEMA.fieldNames())
+
+
 def read_with_compacted(spark: SparkSession, path: str, compacted: str) -> DataFrame:
     """Revisions of the streaming table and of its compacted past.
 
     They may overlap, since views take the last revision of each window. So batches
-    that were compacted can be removed from the streaming table at any later time.
+    that were compacted can be retired from the streaming table at any later time.
     """
-    return read_revisions(spark, compacted).unionByName(read_revisions(spark, path))
+    return read_compacted(spark, compacted).unionByName(read_revisions(spark, path))
 
 
 def stream_revisions(spark: SparkSession, path: str) -> DataFrame:

@@ -11,9 +11,18 @@ from tidegauge.streaming.runner import (
     run_until_any_ends,
     start_metric,
     start_metrics,
+    ProgressLog,
+    recent_progress,
     watermark_report,
 )
-from tidegauge.streaming.sinks import compact_revisions, publish, revision_writer, run_identity
+from tidegauge.streaming.sinks import (
+    compact_revisions,
+    publish,
+    retire_batches,
+    retire_versions,
+    revision_writer,
+    run_identity,
+)
 
 __all__ = [
     "await_all",
@@ -31,5 +40,9 @@ __all__ = [
     "start_combined",
     "start_metric",
     "start_metrics",
+    "ProgressLog",
+    "recent_progress",
+    "retire_batches",
+    "retire_versions",
     "watermark_report",
 ]

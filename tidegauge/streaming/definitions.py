@@ -18,10 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.model import REVISION_FIELDS, REVISION_PARTITIONS, TRIGGER_S, MetricDef
 from tidegauge.operators.windows import window_totals
 from tidegauge.streaming.runner import _trigger, metric_stream
-from tidegauge.streaming.sinks import run_identity
-
-# Each shape is a branch of the streaming plan with state of its own.
-MAX_SHAPES = 100
+from tidegauge.streaming.sinks import FILES_PER_DAY, run_identity
 
 
 def combined_stream(telemetry: DataFrame, metrics: Iterable[MetricDef]) -> DataFrame:
@@ -33,16 +30,36 @@ def combined_stream(telemetry: DataFrame, metrics: Iterable[MetricDef]) -> DataF
 
 
 def definition_stream(
-    telemetry: DataFrame, definitions: DataFrame, delay_s: int, decimals: int | None = None
+    telemetry: DataFrame,
+    definitions: DataFrame,
+    shapes: Iterable[tuple[int, int]],
+    delay_s: int,
+    decimals: int | None = None,
 ) -> DataFrame:
     """All metrics of a definition table over a stream, one branch per window shape.
 
-    New rows for known shapes need no new code, only a restart on a new checkpoint.
+    ``shapes`` are the pairs (size_s, slide_s) that the definitions use; each is a branch
+    of the plan with state of its own. A definition of another shape ends the query. New rows
+    for known shapes need no new code, only a restart on a new checkpoint. Readings of
+    devices that no definition lists leave before the watermark.
     """
-    shapes = definitions.select("size_s", "slide_s").distinct().take(MAX_SHAPES + 1)
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"more than {MAX_SHAPES} window shapes in one query")
-    timed = telemetry.withWatermark("event_time", f"{delay_s} seconds")
+    shapes = sorted(set(shapes))
+    known = reduce(
+        lambda a, b: a | b,
+        [(F.col("size_s") == size) & (F.col("slide_s") == slide) for size, slide in shapes],
+    )
+    unknown = F.concat(
+        F.lit("no branch for windows of "), "size_s", F.lit(" by "), "slide_s", F.lit(" seconds")
+    )
+    checked = definitions.withColumn(
+        "metric", F.when(known, F.col("metric")).otherwise(F.raise_error(unknown))
+    )
+    listed = telemetry.join(
+        checked.filter(F.col("metric").isNotNull()).select("device_id").distinct(),
+        "device_id",
+        "left_semi",
+    )
+    timed = listed.withWatermark("event_time", f"{delay_s} seconds")
 
     def branch(size_s: int, slide_s: int) -> DataFrame:
         of_shape = (F.col("size_s") == size_s) & (F.col("slide_s") == slide_s)
@@ -51,7 +68,7 @@ def definition_stream(
             timed.join(wanted, "device_id"), size_s, slide_s, ["metric"], decimals=decimals
         )
 
-    return reduce(DataFrame.unionByName, [branch(s.size_s, s.slide_s) for s in shapes])
+    return reduce(DataFrame.unionByName, [branch(*shape) for shape in shapes])
 
 
 def start_combined(
@@ -60,12 +77,14 @@ def start_combined(
     checkpoint: str,
     available_now: bool = False,
     trigger_s: int = TRIGGER_S,
+    files: int = FILES_PER_DAY,
 ) -> StreamingQuery:
     """Stores such a stream in the revision table.
 
-    A batch replaces exactly the directories it writes, so repeating it is safe.
+    A batch replaces exactly the directories it writes, so repeating it is safe. It
+    writes at most ``files`` files for each metric and day.
     """
-    run_id = run_identity(windows.sparkSession, checkpoint)
+    run_id = run_identity(windows.sparkSession, checkpoint, table)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns(
@@ -74,12 +93,13 @@ def start_combined(
                 "computed_at": F.current_timestamp(),
                 "run_id": F.lit(run_id),
                 "batch_id": F.lit(batch_id),
+                "window_date": F.to_date("window_start"),
             }
         )
         partitions = REVISION_PARTITIONS.fieldNames()
         (
             rows.select(*REVISION_FIELDS.fieldNames(), *partitions)
-            .hint("rebalance", "metric")
+            .repartition(files, "window_start")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidegauge.model import METRICS, TRIGGER_S, MetricDef
 from tidegauge.operators.latest import latest_per_device
 from tidegauge.operators.windows import window_totals
-from tidegauge.streaming.sinks import revision_writer, run_identity
+from tidegauge.streaming.sinks import FILES_PER_DAY, revision_writer, run_identity
 
 
 def metric_stream(
@@ -47,6 +48,7 @@ def start_metric(
     available_now: bool = False,
     trigger_s: int = TRIGGER_S,
     after: Callable[[DataFrame, int], None] | None = None,
+    files: int = FILES_PER_DAY,
 ) -> StreamingQuery:
     """Starts the query of one metric into the revision table (STR-6 … STR-8).
 
@@ -56,14 +58,14 @@ def start_metric(
     """
     checkpoint = f"{checkpoints.rstrip('/')}/{metric.name}"
     spark = telemetry.sparkSession
-    run_id = run_identity(spark, checkpoint)
+    run_id = run_identity(spark, checkpoint, table)
     writer = (
         metric_stream(telemetry, metric, keys)
         .writeStream.queryName(metric.name)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(available_now, trigger_s))
-        .foreachBatch(revision_writer(table, metric, run_id, after))
+        .foreachBatch(revision_writer(table, metric, run_id, after, files))
     )
     # The query's thread inherits the pool: under the FAIR scheduler a metric with a
     # long batch does not hold up the others.
@@ -84,9 +86,23 @@ def start_metrics(
     """One query per metric, side by side (STR-9).
 
     Merging them into one query would tie their watermarks together and change
-    which late readings are accepted.
+    which late readings are accepted. If one cannot be started, those that were are
+    stopped again.
     """
-    return [start_metric(telemetry, m, table, checkpoints, **how) for m in metrics]
+    started: list[StreamingQuery] = []
+    try:
+        for metric in metrics:
+            started.append(start_metric(telemetry, metric, table, checkpoints, **how))
+    except BaseException:
+        _stop(started)
+        raise
+    return started
+
+
+def _stop(queries: Iterable[StreamingQuery]) -> None:
+    for query in queries:
+        if query.isActive:
+            query.stop()
 
 
 def latest_reading_query(
@@ -103,7 +119,8 @@ def latest_reading_query(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # One row per device that changed: a single file holds it.
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         latest_per_device(telemetry, arrival)
@@ -121,29 +138,90 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def run_until_any_ends(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Blocks until one query ends or fails, then stops the others (STR-9, SNK-8)."""
+def run_until_any_ends(queries: Sequence[StreamingQuery], poll_s: float = 1.0) -> None:
+    """Blocks until one of ``queries`` ends or fails, then stops the others (STR-9, SNK-8).
+
+    Waits for each in turn, for ``poll_s`` seconds in all, so other queries of the session,
+    running or ended, have no part in it. The error of a failed query is raised.
+    """
+    if not queries:
+        return
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(q.awaitTermination(poll_s / len(queries)) for q in queries):
+            pass
     finally:
-        for query in queries:
-            if query.isActive:
-                query.stop()
+        _stop(queries)
 
 
-def watermark_report(query: StreamingQuery) -> list[dict]:
-    """Watermark and dropped rows per recent batch (STR-10, EXT-4).
+PROGRESS_SCHEMA = (
+    "query_id string, run_id string, name string, batch_id long, input_rows long, "
+    "watermark string, dropped long, state_rows long"
+)
 
-    Of the progress events Spark keeps (100 by default). For sliding windows the
-    dropped rows are counted once per window.
+
+def _progress_row(p) -> dict:
+    return {
+        "query_id": str(p.id),
+        "run_id": str(p.runId),
+        "name": p.name,
+        "batch_id": p.batchId,
+        "input_rows": p.numInputRows,
+        "watermark": p.eventTime.get("watermark"),
+        "dropped": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+        "state_rows": sum(s.numRowsTotal for s in p.stateOperators),
+    }
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes the progress of every batch of a session's streams to a table (EXT-4).
+
+    Spark itself keeps only the last hundred events of a query. Rows are written in
+    blocks of ``block`` events and whenever a query ends. Add it before the queries start
+    and call :meth:`close` at the end.
     """
-    return [
-        {
-            "batch_id": p.batchId,
-            "input_rows": p.numInputRows,
-            "watermark": p.eventTime.get("watermark"),
-            "dropped": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
-            "state_rows": sum(s.numRowsTotal for s in p.stateOperators),
-        }
-        for p in query.recentProgress
-    ]
+
+    def __init__(self, spark: SparkSession, path: str, block: int = 100):
+        self._spark, self._path, self._block = spark, path, block
+        self._rows: list[dict] = []
+        self._lock = Lock()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._lock:
+            self._rows.append(_progress_row(event.progress))
+            if len(self._rows) >= self._block:
+                self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._write()
+
+    def _write(self) -> None:
+        if self._rows:
+            rows = self._spark.createDataFrame(self._rows, PROGRESS_SCHEMA)
+            rows.coalesce(1).write.mode("append").parquet(self._path)
+            self._rows = []
+
+    def close(self) -> None:
+        """Waits for events under way, writes the rest and stops listening."""
+        self._spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self._spark.streams.removeListener(self)
+        with self._lock:
+            self._write()
+
+
+def watermark_report(spark: SparkSession, path: str) -> DataFrame:
+    """Watermark and dropped rows of every batch that a :class:`ProgressLog` wrote
+    (STR-10, EXT-4). For sliding windows a dropped row is counted once per window."""
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path)
+
+
+def recent_progress(query: StreamingQuery) -> list[dict]:
+    """The same of the last batches of one query, as many as Spark keeps."""
+    return [_progress_row(p) for p in query.recentProgress]
