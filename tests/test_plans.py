@@ -139,7 +139,7 @@ def test_sparse_series_are_cut_at_every_level(spark):
     """At n = 10 and a reading every three minutes, no window group holds more of a series
     than twice nine rows for each shorter chunk in it."""
     df = spark.range(20_000).select(
-        F.concat(F.lit("a"), F.col("id") * 0).alias("device_id"),
+        F.concat(F.lit("a"), F.col("id") % 1).alias("device_id"),
         F.timestamp_seconds(F.col("id") * 180).alias("event_time"),
         F.col("id").cast("double").alias("value"),
     )
