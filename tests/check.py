@@ -10,7 +10,7 @@ from tidegauge.session import engine_session
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(e.queries())
+    names = sys.argv[2:] or [n for n in e.queries() if n in e.oracle_sql()]
     spark = engine_session(
         **{
             "spark.master": "local[8]",
