@@ -413,3 +413,8 @@ def test_quality_odd_rows(spark):
     assert kept.columns == df.columns and kept.dtypes == df.dtypes
     assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in rows if r[0] in (3, 4))
     assert quality.keep_good(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_html_text", "op10_embedding_dedup"])
+def test_query_equals_its_sql(spark, name):
+    assert compare(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLES[name]) == []

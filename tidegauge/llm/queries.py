@@ -150,4 +150,32 @@ ORACLES = {
                 AS formatted_chars
         FROM shown GROUP BY conv_id
     """,
+    # The pages mark their main text as one article and escape nothing but "&".
+    "op4_html_text": r"""
+        SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM (
+            SELECT page_id, url, trim(regexp_replace(replace(regexp_replace(
+                replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<b>', ''),
+                '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\s+', ' ', 'g')) AS text
+            FROM pages)
+    """,
+    "op10_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+                AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+                ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reached AS (
+            SELECT vec_id AS node, vec_id AS least FROM embeddings
+            UNION
+            SELECT l.b, r.least FROM reached r JOIN links l ON l.a = r.node),
+        groups AS (SELECT node, min(least) AS component_id FROM reached GROUP BY node),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT g.node AS vec_id, coalesce(c.n, 0)::BIGINT AS n_links, g.component_id,
+            g.node = g.component_id AS kept
+        FROM groups g LEFT JOIN counts c ON c.a = g.node
+    """,
 }
