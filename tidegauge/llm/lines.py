@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import WHITE, bind, connected_components, written
@@ -24,7 +24,7 @@ MIN_CHARS = 20
 FEW_LINES = 200_000
 
 # Frequent letters, whose counts rule out most pairs before verification.
-LETTERS = "etanoirs"
+LETTERS = "etanoirshdlucmp"
 
 
 def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -38,25 +38,38 @@ def occurrences(docs: DataFrame, id: str, text: str) -> DataFrame:
     )
 
 
-def _place() -> Column:
-    """Orders occurrences: by id, null ids last, then by place."""
-    return F.struct(F.col("id").isNull().alias("none"), "id", "tie", "pos")
+def _place(id_type: str) -> Column:
+    """Orders occurrences: by id, null ids last, then by line, then by text.
 
+    Whole numbers become one decimal of 20, 10 and 8 digits, so that the smallest is
+    found in hash buffers; other ids make a struct.
+    """
+    if id_type not in ("bigint", "int", "smallint", "tinyint"):
+        return F.struct(F.col("id").isNull().alias("none"), "id", "pos", "tie")
 
-def _line_id(line: Column) -> Column:
-    """32 bits of hash, and eight letter counts modulo 16 of four bits each."""
-    out = F.shiftleft(F.hash(line).cast("long"), 32)
-    for k, letter in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((count % 16).cast("long"), 4 * k))
-    return out
+    def whole(digits: str) -> Column:
+        return F.lit(digits).cast(f"decimal({len(digits)},0)")
+
+    number = F.coalesce(F.col("id").cast("decimal(20,0)") + whole(str(2**63)), whole("9" * 20))
+    line = F.col("pos").cast("decimal(10,0)")
+    text = F.pmod("tie", F.lit(10**8)).cast("decimal(8,0)")
+    low = (line * whole("1" + "0" * 8) + text).cast("decimal(18,0)")
+    return (number.cast("decimal(20,0)") * whole("1" + "0" * 18) + low).cast("decimal(38,0)")
 
 
-def _letters_near(a: Column, b: Column) -> Column:
-    """Whether the letter counts in two line ids differ by what ``EDITS`` edits can do:
-    each edit takes one letter away, adds one, or both."""
+def signature(line: Column) -> Column:
+    """Counts of the ``LETTERS`` and of all other characters, modulo 16, in four bits each."""
+    counts = [F.regexp_count(line, F.lit(letter)) for letter in LETTERS]
+    counts.append(F.length(line) - reduce(lambda x, y: x + y, counts))
+    nibbles = [F.shiftleft((c % 16).cast("long"), 4 * k) for k, c in enumerate(counts)]
+    return reduce(lambda x, y: x.bitwiseOR(y), nibbles)
+
+
+def _counts_near(a: Column, b: Column) -> Column:
+    """Whether two signatures differ by what ``EDITS`` edits can do: each edit takes one
+    character away, adds one, or both."""
     apart = []
-    for k in range(len(LETTERS)):
+    for k in range(len(LETTERS) + 1):
         d = F.shiftright(a, 4 * k).bitwiseAND(15) - F.shiftright(b, 4 * k).bitwiseAND(15)
         d = d.bitwiseAND(15)
         apart.append(F.least(d, 16 - d))
@@ -161,64 +174,76 @@ def edit_distance(a: Column, b: Column) -> Column:
     )
 
 
-def near_line_links(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links ``a``, ``b`` (h1 of two different lines) for all pairs of distinct lines
-    within ``EDITS`` edits."""
+def distinct_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row per distinct line, however often it occurs: ``h1``, ``h2``, its first place, how
+    often, and its index and probe keys ``k0`` … All of fixed width: no line is sorted."""
+    every = occurrences(docs, id, text)
     size = F.length("line")
-    lines = occurrences(docs, id, text)
-    keyed = lines.select(
-        _line_id(F.col("line")).alias("line_id"),
-        F.array(*index_keys(F.col("line"), size)).alias("index"),
-        F.array(*probe_keys(F.col("line"), size)).alias("probe"),
+    keys = [*index_keys(F.col("line"), size), *probe_keys(F.col("line"), size)]
+    keyed = every.select(
         "h1",
+        "h2",
+        _place(dict(every.dtypes)["id"]).alias("place"),
+        *[k.alias(f"k{i}") for i, k in enumerate(keys)],
     )
-    # One row per distinct line, however often it occurs.
-    distinct = keyed.groupBy("h1").agg(
-        F.first("line_id").alias("line_id"), F.first("index").alias("index"), F.first("probe").alias("probe")
+    return keyed.groupBy("h1", "h2").agg(
+        F.min("place").alias("first"),
+        F.count("*").alias("n"),
+        *[F.first(f"k{i}").alias(f"k{i}") for i in range(len(keys))],
     )
-    index = distinct.select(F.explode("index").alias("key"), F.col("line_id").alias("a"))
-    probe = distinct.select(F.explode("probe").alias("key"), F.col("line_id").alias("b")).where(
-        F.col("key").isNotNull()
+
+
+def near_line_links(distinct: DataFrame, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Links ``a``, ``b`` (h1 of two different lines) for all pairs of distinct lines
+    within ``EDITS`` edits.
+
+    The hashed keys of all lines first show which lines share a key with any other; only
+    their texts are fetched, and their pairs compared, first by character counts in the join.
+    """
+    keys = [c for c in distinct.columns if c.startswith("k")]
+    rows = distinct.select("h1", F.explode(F.array(*keys)).alias("key")).where("key is not null")
+    by_key = Window.partitionBy("key").orderBy("h1")
+    other = (F.lag("h1").over(by_key) != F.col("h1")) | (F.lead("h1").over(by_key) != F.col("h1"))
+    needed = rows.withColumn("meets", F.coalesce(other, F.lit(False))).where("meets")
+    needed = written(needed.select("h1").distinct(), "line-needed")
+    if needed.count() <= FEW_LINES:
+        needed = F.broadcast(needed)
+    lines = occurrences(docs, id, text).select("h1", "line").join(needed, "h1", "left_semi")
+    texts = lines.groupBy("h1").agg(F.first("line").alias("line"))
+    texts = written(texts.withColumn("sig", signature(F.col("line"))), "line-texts")
+    size = F.length("line")
+    index = texts.select(
+        F.col("h1").alias("a"), F.col("sig").alias("sig_a"), F.explode(F.array(*index_keys(F.col("line"), size))).alias("key")
+    )
+    probe = texts.select(
+        F.col("h1").alias("b"), F.col("sig").alias("sig_b"), F.explode(F.array(*probe_keys(F.col("line"), size))).alias("key")
     )
     met = index.join(
-        probe,
-        (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & _letters_near(F.col("a"), F.col("b")),
+        probe.where("key is not null"),
+        (index["key"] == probe["key"]) & (F.col("a") != F.col("b")) & _counts_near(F.col("sig_a"), F.col("sig_b")),
     )
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs, "line-pairs")
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "line-needed")
-    if needed.count() <= FEW_LINES:
-        needed = F.broadcast(needed)
-    texts = (
-        lines.select(_line_id(F.col("line")).alias("line_id"), "h1", "line")
-        .join(needed, "line_id", "left_semi")
-        .groupBy("line_id", "h1")
-        .agg(F.first("line").alias("line"))
-    )
-    texts = written(texts, "line-texts")
-    one = texts.select(F.col("line_id").alias("a"), F.col("h1").alias("h_a"), F.col("line").alias("t_a"))
-    two = texts.select(F.col("line_id").alias("b"), F.col("h1").alias("h_b"), F.col("line").alias("t_b"))
+    one = texts.select(F.col("h1").alias("a"), F.col("line").alias("t_a"))
+    two = texts.select(F.col("h1").alias("b"), F.col("line").alias("t_b"))
     both = pairs.join(one, "a").join(two, "b").where(F.abs(F.length("t_a") - F.length("t_b")) <= EDITS)
-    near = both.withColumn("distance", edit_distance(F.col("t_a"), F.col("t_b"))).where(
-        F.col("distance") <= EDITS
-    )
-    return near.select(F.col("h_a").alias("a"), F.col("h_b").alias("b"))
+    near = both.withColumn("distance", edit_distance(F.col("t_a"), F.col("t_b")))
+    return near.where(F.col("distance") <= EDITS).select("a", "b")
 
 
 def dropped_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``tie`` and the ``places`` (line numbers from 0) to drop, for documents with any."""
-    lines = occurrences(docs, id, text).drop("line")
-    distinct = lines.groupBy("h1", "h2").agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
-    distinct = written(distinct, "line-firsts")
-    groups = connected_components(near_line_links(docs, id, text), "line-groups")
-    grouped = distinct.join(groups, F.col("h1") == F.col("node"), "left")
+    distinct = written(distinct_lines(docs, id, text), "line-firsts")
+    groups = connected_components(near_line_links(distinct, docs, id, text), "line-groups")
+    grouped = distinct.select("h1", "h2", "first", "n").join(groups, F.col("h1") == F.col("node"), "left")
     # A line without near copies is a class of its own, known by both of its hashes.
     alone = grouped.where("component is null and n > 1").select("h1", "h2", "first")
     several = grouped.where("component is not null")
     first = several.groupBy("component").agg(F.min("first").alias("first"))
     joint = several.drop("first").join(first, "component").select("h1", "h2", "first")
     classes = written(alone.union(joint), "line-classes")
-    later = lines.join(classes, ["h1", "h2"]).where(~_place().eqNullSafe(F.col("first")))
+    lines = occurrences(docs, id, text).drop("line")
+    place = _place(dict(lines.dtypes)["id"])
+    later = lines.join(classes, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("id", "tie").agg(F.collect_set("pos").alias("places"))
 
 
