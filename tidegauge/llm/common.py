@@ -33,12 +33,12 @@ def bind(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: later jobs read it, lost executors
     cost no recomputation beyond it."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

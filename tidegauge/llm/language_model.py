@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +34,9 @@ DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
 BURN_IN, SWEEPS = 3, 4
 #: Tokens in a chunk, about; a longer text is a chunk of its own.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: Tokens for each bucket of pairs and of words. Their numbers follow from the input.
-BUCKET_TOKENS = 1_500_000
+BUCKET_TOKENS = 1_000_000
 WORD_BUCKET_TOKENS = 4_000_000
 #: Counts up to this one are drawn from the exact table of Stirling numbers; larger ones
 #: seat the customers beyond it in blocks of a thirty-second of those seated.
@@ -69,7 +70,7 @@ def _chunk(ids: list, held: list[bool], lengths: list[int], numbers: _Numbers, w
         "n_tokens": len(tokens),
         "n_train": int(np.array(lengths)[~np.array(held)].sum()),
         "words": hashes[order].tobytes(),
-        "tokens": tokens.tobytes(),
+        "tokens": zstandard.compress(tokens.tobytes()),
         "end": int(rank[numbers[END]]),
     }
 
@@ -123,12 +124,16 @@ def chunks(docs: DataFrame, id: str, text: str) -> DataFrame:
     return named.mapInArrow(run, schema)
 
 
+def _tokens(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed), np.uint32)
+
+
 class Chunk:
     """A chunk read back, with its distinct pairs in the order in which buckets see them."""
 
     def __init__(self, row: dict, buckets: int, hot: dict[int, int]):
         self.words = np.frombuffer(row["words"], np.uint64)
-        self.tokens = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
+        self.tokens = _tokens(row["tokens"]).astype(np.int64)
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
         self.text = np.repeat(np.arange(len(self.lengths)), self.lengths)
@@ -136,7 +141,10 @@ class Chunk:
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
         before[np.cumsum(self.lengths) - self.lengths] = row["end"]
-        code, self.pair = np.unique(before << 32 | self.tokens, return_inverse=True)
+        before <<= 32
+        before |= self.tokens
+        code, self.pair = np.unique(before, return_inverse=True)
+        del before
         self.context, self.word = code >> 32, code & 0xFFFFFFFF
         u, w = self.words[self.context], self.words[self.word]
         bucket = (u >> np.uint64(7)) % np.uint64(buckets)
@@ -152,7 +160,9 @@ class Chunk:
         self.order = np.argsort(self.bucket, kind="stable")  # within a bucket by context and word
 
     def pair_rows(self) -> Iterator[dict]:
+        """A row for each bucket; what stands token by token is let go before."""
         counts = np.bincount(self.pair[self.train], minlength=len(self.context)).astype(np.uint32)
+        del self.pair, self.train, self.tokens, self.text
         ordered = self.bucket[self.order]
         edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
         for a, b in zip(edges, [*edges[1:], len(ordered)], strict=True):
@@ -363,7 +373,7 @@ def _frequent_contexts(table: DataFrame, total: int, buckets: int) -> dict[int,
         for batch in batches:
             for words, tokens in zip(batch.column(0), batch.column(1), strict=True):
                 hashes = np.frombuffer(words.as_py(), np.uint64)
-                own = np.frombuffer(tokens.as_py(), np.uint32)
+                own = _tokens(tokens.as_py())
                 counts = np.bincount(own, minlength=len(hashes))
                 some = np.flatnonzero(counts >= max(1.0, least * len(own)))
                 yield pa.RecordBatch.from_arrays(
@@ -387,7 +397,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     probability of the one unknown word, 1. An empty table gives an empty result.
     """
     kind = docs.schema[id].dataType.simpleString()
-    table = written(chunks(docs, id, text), "lm-chunks")
+    table = written(chunks(docs, id, text), "lm-chunks", "zstd")
     total = table.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_TOKENS))
     word_buckets = max(1, -(-total // WORD_BUCKET_TOKENS))
@@ -410,7 +420,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
                 row = batch.slice(k, 1).to_pylist()[0]
                 words = np.frombuffer(row["words"], np.uint64)
                 train = np.repeat(~np.array(row["held"], bool), row["lengths"])
-                own = np.frombuffer(row["tokens"], np.uint32)[train]
+                own = _tokens(row["tokens"])[train]
                 counts = np.bincount(own, minlength=len(words)).astype(np.uint32)
                 edges = np.searchsorted(_word_bucket(words, word_buckets), np.arange(word_buckets + 1))
                 for b in range(word_buckets):
@@ -432,11 +442,13 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     learnt = written(
         pairs.groupBy("bucket").applyInArrow(lambda g: _table(seat_bucket(g, word_buckets)), LEARNT),
         "lm-pairs",
+        "zstd",
     )
     of_words = table.mapInArrow(send_words, LEARNT).union(learnt.where("kind in ('served', 'tables')"))
     answers = written(
         of_words.groupBy("bucket").applyInArrow(lambda g: _table(seat_words(g, word_buckets)), LEARNT),
         "lm-words",
+        "zstd",
     )
     sums = answers.where("kind = 'sums'").agg(F.sum("n"), F.sum("v"), F.sum("k"), F.sum("t")).first()
     n, v, customers, root_tables = (x or 0 for x in sums)
