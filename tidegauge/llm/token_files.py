@@ -207,27 +207,28 @@ def write_token_files(
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """The shards with ``start``, the number of ids in all shards before.
+    """The shards of a file set."""
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def shard_starts(shards: DataFrame) -> DataFrame:
+    """``part``, ``seq`` and how many ids lie in all shards before (``shard_start``).
 
     Summed in two steps: shards within their part by a window, parts among each other on
     the driver, which sees one number for each part that was written.
     """
-    shards = spark.read.schema(SCHEMA).parquet(path)
     sizes = shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()
     begin, rows = 0, []
     for size in sorted(sizes, key=lambda r: r["part"]):
         rows.append((size["part"], begin))
         begin += size["n"]
-    parts = spark.createDataFrame(rows, "part int, part_start long")
-    within = shards.select("part", "seq", "n_ids").selectExpr(
-        "part",
-        "seq",
-        "sum(n_ids) over (partition by part order by seq) - n_ids as shard_start",
+    parts = shards.sparkSession.createDataFrame(rows, "part int, part_start long")
+    within = shards.selectExpr(
+        "part", "seq", "sum(n_ids) over (partition by part order by seq) - n_ids as before"
     )
-    starts = within.join(parts, "part").select(
-        "part", "seq", (F.col("part_start") + F.col("shard_start")).alias("start")
+    return within.join(parts, "part").select(
+        "part", "seq", (F.col("part_start") + F.col("before")).alias("shard_start")
     )
-    return shards.join(starts, ["part", "seq"])
 
 
 def _open(row: dict, part) -> np.ndarray:
@@ -249,13 +250,22 @@ def documents_of(shards: DataFrame, wanted: list[int] | None = None) -> DataFram
     ``ids_crc32`` (of its ids as little-endian unsigned 32-bit integers).
 
     With ``wanted`` only the documents with one of these keys; shards that cannot hold
-    any are not opened. Keys that no shard holds give no row.
+    any are not opened. Keys that no shard holds give no row. The payload is read where
+    it lies; only the rows found are joined with the starts of their shards.
     """
+    starts = shard_starts(shards)
     if wanted is not None:
         near = [F.lit(k).between(F.col("first_key"), F.col("last_key")) for k in wanted]
         shards = shards.where(F.exists(F.array(*near), lambda x: x) if near else F.lit(False))
     out = pa.schema(
-        [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+        [
+            ("part", pa.int32()),
+            ("seq", pa.int32()),
+            ("doc_id", pa.int64()),
+            ("at", pa.int64()),
+            ("n_tokens", pa.int64()),
+            ("ids_crc32", pa.int64()),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,12 +285,19 @@ def documents_of(shards: DataFrame, wanted: list[int] | None = None) -> DataFram
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(held.sum(), row["part"]), pa.int32()),
+                        pa.array(np.full(held.sum(), row["seq"]), pa.int32()),
                         pa.array(keys[held], pa.int64(), mask=nulls[held].astype(bool)),
-                        pa.array(offset[held] + row["start"], pa.int64()),
+                        pa.array(offset[held], pa.int64()),
                         pa.array(length[held], pa.int64()),
                         pa.array(checks, pa.int64()),
                     ],
                     schema=out,
                 )
 
-    return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = shards.mapInArrow(
+        run, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long"
+    )
+    return found.join(starts, ["part", "seq"]).select(
+        "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    )
