@@ -459,6 +459,20 @@ def test_language_model_odd_rows(spark):
     assert (r.train_tokens, r.n_known, r.base_score, r.score) == (0, 0, 0.0, 0.0)
 
 
+def test_buckets_see_the_tables_of_all_others(spark, monkeypatch):
+    """A frequent context that is dealt to many buckets scores as it does in one."""
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    docs = [(i, " ".join(f"the {rng.choice(words)}" for _ in range(40))) for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    whole = {r.doc_id: r.score / r.n_tokens for r in language_model.score(df).collect()}
+    for name in ("CHUNK_TOKENS", "BUCKET_TOKENS", "WORD_BUCKET_TOKENS"):
+        monkeypatch.setattr(language_model, name, 600)
+    split = {r.doc_id: r.score / r.n_tokens for r in language_model.score(df).collect()}
+    off = np.array([split[i] - whole[i] for i in whole])
+    assert abs(off.mean()) < 0.002 and np.abs(off).max() < 0.01
+
+
 # --- Pipeline ----------------------------------------------------------------------
 
 

@@ -6,8 +6,9 @@ is a customer of the parent restaurant, which all contexts share; its own parent
 uniform distribution over the known words and one unknown. Seating is sampled by Gibbs:
 a sweep draws, for each word of a context, at how many tables its customers sit, given
 the other tables of the context and the parent (the exact conditional, with generalised
-Stirling numbers). The predictive probabilities are averaged over the sweeps after the
-first ones.
+Stirling numbers). All words of a sweep are drawn at once from the totals of the sweep
+before, summed over all buckets: a parallel update. The predictive probabilities are
+averaged over the sweeps after the first ones.
 
 The work moves in packed rows. Texts become chunks of word numbers; distinct word pairs
 of a chunk go to buckets by context, and what a bucket learns comes back to the chunk in
@@ -38,6 +39,8 @@ CHUNK_TOKENS = 1_000_000
 #: Tokens for each bucket of pairs and of words. Their numbers follow from the input.
 BUCKET_TOKENS = 1_000_000
 WORD_BUCKET_TOKENS = 4_000_000
+#: Buckets, or ranges of words, for each task of a sweep: what they hold by then is small.
+SWEEP_BUCKETS = 8
 #: Counts up to this one are drawn from the exact table of Stirling numbers; larger ones
 #: seat the customers beyond it in blocks of a thirty-second of those seated.
 EXACT_COUNT = 64
@@ -69,7 +72,7 @@ def _chunk(ids: list, held: list[bool], lengths: list[int], numbers: _Numbers, w
         "lengths": lengths,
         "n_tokens": len(tokens),
         "n_train": int(np.array(lengths)[~np.array(held)].sum()),
-        "words": hashes[order].tobytes(),
+        "words": _ascending(hashes[order]),
         "tokens": zstandard.compress(tokens.tobytes()),
         "end": int(rank[numbers[END]]),
     }
@@ -128,11 +131,31 @@ def _tokens(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(packed), np.uint32)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Byte by byte, all first bytes before all second ones: small numbers pack well."""
+    width = values.dtype.itemsize
+    return zstandard.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T.tobytes())
+
+
+def _unpacked(packed: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    plain = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return np.ascontiguousarray(plain.reshape(width, -1).T).view(kind).reshape(-1)
+
+
+def _ascending(values: np.ndarray) -> bytes:
+    return _packed(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def _from_ascending(packed: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(_unpacked(packed, kind), dtype=kind)
+
+
 class Chunk:
     """A chunk read back, with its distinct pairs in the order in which buckets see them."""
 
     def __init__(self, row: dict, buckets: int, hot: dict[int, int]):
-        self.words = np.frombuffer(row["words"], np.uint64)
+        self.words = _from_ascending(row["words"], np.uint64)
         self.tokens = _tokens(row["tokens"]).astype(np.int64)
         self.lengths = np.array(row["lengths"], np.int64)
         self.held = np.array(row["held"], bool)
@@ -168,14 +191,14 @@ class Chunk:
         for a, b in zip(edges, [*edges[1:], len(ordered)], strict=True):
             own = self.order[a:b]
             context, runs = np.unique(self.context[own], return_counts=True)
-            w = self.words[self.word[own]]
+            names, word = np.unique(self.words[self.word[own]] >> np.uint64(16), return_inverse=True)
             yield {
                 "bucket": int(ordered[a]),
-                "contexts": self.words[context].tobytes(),
-                "runs": runs.astype(np.uint32).tobytes(),
-                "high": (w >> np.uint64(32)).astype(np.uint32).tobytes(),
-                "low": (w >> np.uint64(16)).astype(np.uint16).tobytes(),
-                "counts": counts[own].tobytes(),
+                "contexts": _ascending(self.words[context]),
+                "runs": _packed(runs.astype(np.uint32)),
+                "names": _ascending(names),
+                "word": _ascending(word.astype(np.uint32)),
+                "counts": _packed(counts[own]),
             }
 
 
@@ -254,95 +277,238 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist([{c: r.get(c) for c in _LEARNT.names} for r in rows], _LEARNT)
 
 
-def seat_bucket(group: pa.Table, word_buckets: int) -> list[dict]:
-    """Samples the restaurants of a bucket. Gives back to each chunk, for its pairs in
-    order, customers less discounted tables; and per word the tables that serve it, per
-    context all of its tables, for the buckets of words."""
+def _told(seat, *given):
+    """``seat`` of a group with what is given, as a function of the group alone."""
+    return lambda group: _table(seat(group, *given))
+
+
+#: What a bucket keeps of its restaurants between sweeps, and a range of words of the parent.
+_STATE = {
+    "names": np.uint64, "runs": np.uint32, "base": np.uint32, "words": np.uint64, "word": np.uint32,
+    "counts": np.uint32, "tables": np.uint32, "sums": np.uint32,
+}
+_RANGE = {"words": np.uint64, "base": np.int64, "roots": np.uint32, "served_sum": np.int64, "roots_sum": np.uint32}
+
+
+_ORDERED = {"names", "words", "word"}
+
+
+def _held(kinds: dict, **arrays: np.ndarray) -> bytes:
+    packed = [(_ascending if c in _ORDERED else _packed)(arrays[c].astype(k)) for c, k in kinds.items()]
+    return b"".join(len(x).to_bytes(8, "little") + x for x in packed)
+
+
+def _read(kinds: dict, held: bytes) -> dict[str, np.ndarray]:
+    out, at = {}, 0
+    for c, kind in kinds.items():
+        size = int.from_bytes(held[at : at + 8], "little")
+        out[c] = (_from_ascending if c in _ORDERED else _unpacked)(held[at + 8 : at + 8 + size], kind)
+        at += 8 + size
+    return out
+
+
+def _by_range(kind: str, bucket: int, known: np.ndarray, value: np.ndarray, word_buckets: int) -> Iterator[dict]:
+    """A row for each range of words, for ascending hashes."""
+    edges = np.searchsorted(_word_bucket(known, word_buckets), np.arange(word_buckets + 1))
+    for b in range(word_buckets):
+        a, z = edges[b], edges[b + 1]
+        if z > a:
+            yield {"kind": kind, "chunk": bucket, "bucket": b, "words": _ascending(known[a:z]), "x": _packed(value[a:z])}
+
+
+def _state_rows(bucket: int, state: dict[str, np.ndarray], word_buckets: int, hot: dict[int, int]) -> list[dict]:
+    """The restaurants of a bucket for its next sweep, and their tables: per word for the
+    ranges of words, per dealt context for all buckets that have a part of it."""
+    out = [{"kind": "state", "bucket": bucket, "x": _held(_STATE, **state)}]
+    served = np.bincount(state["word"], weights=state["tables"], minlength=len(state["words"]))
+    out += _by_range("served", bucket, state["words"], served.astype(np.uint32), word_buckets)
+    if hot:
+        context = np.repeat(np.arange(len(state["names"])), state["runs"])
+        in_all = np.bincount(context, weights=state["tables"], minlength=len(state["names"]))
+        out += _hot_rows("hot", state["names"], in_all, hot)
+    return out
+
+
+def _hot_rows(kind: str, names: np.ndarray, tables: np.ndarray, hot: dict[int, int]) -> list[dict]:
+    at = np.flatnonzero(np.isin(names, np.array(list(hot), np.uint64)))
+    return [{"kind": kind, "n": int(names[k].view(np.int64)), "v": int(tables[k])} for k in at]
+
+
+def open_bucket(group: pa.Table, word_buckets: int, hot: dict[int, int]) -> list[dict]:
+    """Merges the pairs of a bucket. One customer sits at one table whatever is drawn, so
+    only pairs of two or more are left open for the sweeps; of the others the numbers per
+    word and per context are given once. For each chunk, where its pairs are found."""
     rows = sorted(group.to_pylist(), key=lambda r: r["chunk"])
-    contexts = np.concatenate([np.frombuffer(r["contexts"], np.uint64) for r in rows])
-    runs = np.concatenate([np.frombuffer(r["runs"], np.uint32) for r in rows])
-    high = np.concatenate([np.frombuffer(r["high"], np.uint32) for r in rows])
-    low = np.concatenate([np.frombuffer(r["low"], np.uint16) for r in rows])
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in rows])
-    sizes = [len(r["counts"]) // 4 for r in rows]
-    del rows[:-1]
+    bucket = rows[0]["bucket"]
+    contexts = np.concatenate([_from_ascending(r["contexts"], np.uint64) for r in rows])
+    runs = np.concatenate([_unpacked(r["runs"], np.uint32) for r in rows])
+    words = np.concatenate(
+        [_from_ascending(r["names"], np.uint64)[_from_ascending(r["word"], np.uint32)] for r in rows]
+    )
+    each = [_unpacked(r["counts"], np.uint32) for r in rows]
+    chunk_sizes = [(r["chunk"], len(c)) for r, c in zip(rows, each, strict=True)]
+    counts = np.concatenate(each)
+    del rows, each
     names, context = np.unique(contexts, return_inverse=True)
     context = np.repeat(context, runs)
-    words, word = np.unique(high.astype(np.uint64) << np.uint64(16) | low, return_inverse=True)
+    words, word = np.unique(words, return_inverse=True)
+    words = words << np.uint64(16)
     code, place = np.unique(context << 32 | word, return_inverse=True)
     customers = np.bincount(place, weights=counts, minlength=len(code)).astype(np.int64)
     context, word = code >> 32, code & 0xFFFFFFFF
-    seed = int(group.column("bucket")[0].as_py())
-    rng = np.random.default_rng(seed)
-    stirling = _stirling(DISCOUNT)
-    tables = (customers > 0).astype(np.int64)
-    mean = np.zeros(len(code))
-    for sweep in range(BURN_IN + SWEEPS):
-        # The parent as this bucket's contexts, a random part of all, show it.
-        served = np.bincount(word, weights=tables, minlength=len(words))
-        parent = (served + 0.1) / (served.sum() + 0.1 * len(words))
-        in_all = np.bincount(context, weights=tables, minlength=len(names))
-        tables = draw_tables(
-            customers, in_all[context] - tables, parent[word], DISCOUNT, STRENGTH, stirling, rng
-        )
-        if sweep >= BURN_IN:
-            mean += tables / SWEEPS
-    answer = (customers - DISCOUNT * mean).astype(np.float32)[place]
+    several = customers > 1
+    kind, number = np.minimum(customers, 2).astype(np.uint8), np.cumsum(several) - 1
     out, at = [], 0
-    chunk_ids = sorted(group.column("chunk").to_pylist())
-    for chunk, size in zip(chunk_ids, sizes, strict=True):
-        out.append({"kind": "pairs", "chunk": chunk, "bucket": seed, "x": answer[at : at + size].tobytes()})
+    for chunk, size in chunk_sizes:
+        own = place[at : at + size]
         at += size
-    served = np.bincount(word, weights=mean, minlength=len(words))
-    in_all = np.bincount(context, weights=mean, minlength=len(names))
-    for kind, known, value in (("served", words << np.uint64(16), served), ("tables", names, in_all)):
-        some = value > 0
-        known, value = known[some], value[some].astype(np.float32)
-        to = _word_bucket(known, word_buckets)
-        edges = np.searchsorted(to, np.arange(word_buckets + 1))
-        for b in range(word_buckets):
-            a, z = edges[b], edges[b + 1]
-            if z > a:
-                out.append(
-                    {"kind": kind, "bucket": b, "words": known[a:z].tobytes(), "x": value[a:z].tobytes()}
-                )
+        shown = kind[own]
+        found = number[own[shown == 2]].astype(np.int32)
+        out.append({"kind": "places", "chunk": chunk, "bucket": bucket, "x": _packed(shown), "y": _ascending(found)})
+    once_served = np.bincount(word[customers == 1], minlength=len(words))
+    once_in = np.bincount(context[customers == 1], minlength=len(names))
+    some = once_served > 0
+    out += _by_range("once", bucket, words[some], once_served[some].astype(np.uint32), word_buckets)
+    some = once_in > 0
+    out += _by_range("tables", bucket, names[some], once_in[some].astype(np.float32), word_buckets)
+    if hot:
+        out += _hot_rows("hot once", names, once_in, hot)
+    if several.any():
+        known_names, context = np.unique(context[several], return_inverse=True)
+        known_words, word = np.unique(word[several], return_inverse=True)
+        state = {
+            "names": names[known_names],
+            "runs": np.bincount(context),
+            "base": once_in[known_names],
+            "words": words[known_words],
+            "word": word,
+            "counts": customers[several],
+            "tables": np.ones(len(word), np.int64),
+            "sums": np.zeros(len(word), np.int64),
+        }
+        out += _state_rows(bucket, state, word_buckets, hot)
+    return out
+
+
+def seat_range(group: pa.Table, sweep: int, known: int, roots: int) -> list[dict]:
+    """Sums over all buckets how many tables serve each word of a range, samples how many
+    tables these have in the parent restaurant, given the tables of all ranges, and sends
+    each bucket, for its words in order, their customers and tables there."""
+    rows = group.to_pylist()
+    own = next((r for r in rows if r["kind"] == "range"), None)
+    asked = [(r, _from_ascending(r["words"], np.uint64)) for r in rows if r["kind"] in ("once", "served")]
+    if own is None:
+        words = np.unique(np.concatenate([w for _, w in asked]))
+        base = np.zeros(len(words), np.int64)
+        state = {"words": words, "base": base, "roots": np.ones(len(words), np.int64)}
+        state |= {"served_sum": np.zeros(len(words), np.int64), "roots_sum": np.zeros(len(words), np.int64)}
+    else:
+        state = {c: x if x.dtype == np.uint64 else x.astype(np.int64) for c, x in _read(_RANGE, own["x"]).items()}
+        words = state["words"]
+    served = state["base"].copy()
+    places = [np.searchsorted(words, w) for _, w in asked]
+    for (r, _), place in zip(asked, places, strict=True):
+        tables = _unpacked(r["x"], np.uint32)
+        served[place] += tables
+        if r["kind"] == "once":
+            state["base"][place] += tables
+    bucket = group.column("bucket")[0].as_py()
+    if own is not None:
+        rng = np.random.default_rng([bucket, sweep, 1])
+        uniform = np.full(len(words), 1.0 / (known + 1))
+        others = np.maximum(roots - state["roots"], 0)
+        state["roots"] = draw_tables(
+            served, others, uniform, ROOT_DISCOUNT, ROOT_STRENGTH, _stirling(ROOT_DISCOUNT), rng
+        )
+        if sweep > BURN_IN:
+            state["served_sum"] += served
+            state["roots_sum"] += state["roots"]
+    say, seated = served.astype(np.uint32), state["roots"].astype(np.uint32)
+    out = [
+        {"kind": "parent", "chunk": bucket, "bucket": r["chunk"], "x": _packed(say[place]), "y": _packed(seated[place])}
+        for (r, _), place in zip(asked, places, strict=True)
+        if r["kind"] == "served"
+    ]
+    out.append({"kind": "range", "bucket": bucket, "x": _held(_RANGE, **state)})
+    out.append(
+        {"kind": "sums", "n": int(served.sum()), "v": len(words), "t": float(state["roots"].sum())}
+    )
+    return out
+
+
+def seat_bucket(
+    group: pa.Table, sweep: int, sums: tuple[int, int, float], word_buckets: int, hot: dict[int, int]
+) -> list[dict]:
+    """A sweep over the open pairs of a bucket, given the parent as all buckets make it and
+    ``hot``, the tables that dealt contexts have in all of their buckets."""
+    rows = group.to_pylist()
+    held = next(r for r in rows if r["kind"] == "state")
+    state = _read(_STATE, held["x"])
+    said = sorted((r for r in rows if r["kind"] == "parent"), key=lambda r: r["chunk"])
+    served, known, roots = sums
+    kept = np.concatenate(
+        [_unpacked(r["x"], np.uint32) - ROOT_DISCOUNT * _unpacked(r["y"], np.uint32) for r in said]
+    )
+    parent = (kept + (ROOT_STRENGTH + ROOT_DISCOUNT * roots) / (known + 1)) / (ROOT_STRENGTH + served)
+    context = np.repeat(np.arange(len(state["names"])), state["runs"])
+    tables = state["tables"].astype(np.int64)
+    in_all = state["base"] + np.bincount(context, weights=tables, minlength=len(state["names"]))
+    for k in np.flatnonzero(np.isin(state["names"], np.array(list(hot), np.uint64))) if hot else ():
+        in_all[k] = hot[int(state["names"][k])]
+    rng = np.random.default_rng([held["bucket"], sweep])
+    state["tables"] = draw_tables(
+        state["counts"].astype(np.int64), in_all[context] - tables, parent[state["word"]],
+        DISCOUNT, STRENGTH, _stirling(DISCOUNT), rng,
+    )
+    if sweep >= BURN_IN:
+        state["sums"] = state["sums"] + state["tables"]
+    return _state_rows(held["bucket"], state, word_buckets, hot)
+
+
+def answer_bucket(group: pa.Table, word_buckets: int) -> list[dict]:
+    """Gives back to each chunk, for its pairs in order, customers less discounted tables;
+    and per context its open pairs' tables, for the ranges of words."""
+    rows = group.to_pylist()
+    held = next((r for r in rows if r["kind"] == "state"), None)
+    out, open_ = [], np.zeros(0, np.float32)
+    if held is not None:
+        state = _read(_STATE, held["x"])
+        mean = state["sums"] / SWEEPS
+        open_ = (state["counts"] - DISCOUNT * mean).astype(np.float32)
+        context = np.repeat(np.arange(len(state["names"])), state["runs"])
+        in_all = np.bincount(context, weights=mean, minlength=len(state["names"])).astype(np.float32)
+        out += _by_range("tables", held["bucket"], state["names"], in_all, word_buckets)
+    for r in rows:
+        if r["kind"] == "places":
+            shown = _unpacked(r["x"], np.uint8)
+            answer = np.where(shown == 1, np.float32(1 - DISCOUNT), np.float32(0))
+            answer[shown == 2] = open_[_from_ascending(r["y"], np.int32)]
+            out.append({"kind": "pairs", "chunk": r["chunk"], "bucket": r["bucket"], "x": _packed(answer)})
     return out
 
 
-def seat_words(group: pa.Table, word_buckets: int) -> list[dict]:
-    """Merges what chunks and buckets say of a range of words, samples the shared parent
-    restaurant there, and answers each chunk, for its words in order."""
+def seat_words(group: pa.Table) -> list[dict]:
+    """Merges what chunks count and buckets say of a range of words, and answers each chunk,
+    for its words in order."""
     rows = group.to_pylist()
     asked = sorted((r for r in rows if r["kind"] == "words"), key=lambda r: r["chunk"])
     if not asked:
         return []
-    hashes = [np.frombuffer(r["words"], np.uint64) for r in asked]
+    hashes = [_from_ascending(r["words"], np.uint64) for r in asked]
     words, place = np.unique(np.concatenate(hashes), return_inverse=True)
     counts = np.bincount(
-        place, weights=np.concatenate([np.frombuffer(r["x"], np.uint32) for r in asked]), minlength=len(words)
+        place, weights=np.concatenate([_unpacked(r["x"], np.uint32) for r in asked]), minlength=len(words)
     ).astype(np.int64)
-    served, tables = np.zeros(len(words)), np.zeros(len(words))
+    kept, tables, customers, roots = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0
     for r in rows:
-        if r["kind"] == "served":  # by the first 48 bits
-            at = np.searchsorted(words >> np.uint64(16), np.frombuffer(r["words"], np.uint64) >> np.uint64(16))
-            np.add.at(served, at, np.frombuffer(r["x"], np.float32))
+        if r["kind"] == "range":  # by the first 48 bits
+            own = _read(_RANGE, r["x"])
+            at = np.searchsorted(words >> np.uint64(16), own["words"] >> np.uint64(16))
+            kept[at] = (own["served_sum"] - ROOT_DISCOUNT * own["roots_sum"]) / SWEEPS
+            customers, roots = own["served_sum"].sum() / SWEEPS, own["roots_sum"].sum() / SWEEPS
         elif r["kind"] == "tables":
-            at = np.searchsorted(words, np.frombuffer(r["words"], np.uint64))
-            np.add.at(tables, at, np.frombuffer(r["x"], np.float32))
-    customers = np.where(served > 0, np.maximum(1, np.rint(served)), 0).astype(np.int64)
-    known = int((counts > 0).sum())
-    # This range is a random part of all words: what it has stands for the whole.
-    uniform = np.full(len(words), 1.0 / (known * word_buckets + 1))
-    stirling = _stirling(ROOT_DISCOUNT)
-    rng = np.random.default_rng(group.column("bucket")[0].as_py())
-    own = (customers > 0).astype(np.int64)
-    mean = np.zeros(len(words))
-    for sweep in range(BURN_IN + SWEEPS):
-        others = np.maximum(own.sum() * word_buckets - own, 0)
-        own = draw_tables(customers, others, uniform, ROOT_DISCOUNT, ROOT_STRENGTH, stirling, rng)
-        if sweep >= BURN_IN:
-            mean += own / SWEEPS
-    kept = (customers - ROOT_DISCOUNT * mean).astype(np.float32)
+            at = np.searchsorted(words, _from_ascending(r["words"], np.uint64))
+            np.add.at(tables, at, _unpacked(r["x"], np.float32))
     bucket = group.column("bucket")[0].as_py()
     out, at = [], 0
     for r, h in zip(asked, hashes, strict=True):
@@ -353,14 +519,13 @@ def seat_words(group: pa.Table, word_buckets: int) -> list[dict]:
                 "kind": "words",
                 "chunk": r["chunk"],
                 "bucket": bucket,
-                "words": counts[own_place].astype("<i8").tobytes(),
-                "x": kept[own_place].tobytes(),
-                "y": tables[own_place].astype(np.float32).tobytes(),
+                "words": _packed(counts[own_place]),
+                "x": _packed(kept[own_place].astype(np.float32)),
+                "y": _packed(tables[own_place].astype(np.float32)),
             }
         )
-    out.append(
-        {"kind": "sums", "n": int(counts.sum()), "v": known, "k": float(customers.sum()), "t": float(mean.sum())}
-    )
+    known = int((counts > 0).sum())
+    out.append({"kind": "sums", "n": int(counts.sum()), "v": known, "k": float(customers), "t": float(roots)})
     return out
 
 
@@ -372,7 +537,7 @@ def _frequent_contexts(table: DataFrame, total: int, buckets: int) -> dict[int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words, tokens in zip(batch.column(0), batch.column(1), strict=True):
-                hashes = np.frombuffer(words.as_py(), np.uint64)
+                hashes = _from_ascending(words.as_py(), np.uint64)
                 own = _tokens(tokens.as_py())
                 counts = np.bincount(own, minlength=len(hashes))
                 some = np.flatnonzero(counts >= max(1.0, least * len(own)))
@@ -387,6 +552,48 @@ def _frequent_contexts(table: DataFrame, total: int, buckets: int) -> dict[int,
     }
 
 
+def _sampled(
+    opened: DataFrame, buckets: int, word_buckets: int, hot: dict[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """The buckets' and the ranges' states after all sweeps. Between two sweeps the tables
+    per word are summed over all buckets and the parent is sampled from them; the tables
+    of dealt contexts, at most eight of these per bucket, are summed likewise."""
+    once = {}
+    if hot:
+        once = _summed(opened.where("kind = 'hot once'"))
+    state, ranges, known, roots = opened, None, 0, 0
+    for sweep in range(BURN_IN + SWEEPS + 1):
+        rest = opened.where("kind = 'once'") if ranges is None else ranges.where("kind = 'range'")
+        asked = state.where("kind = 'served'").union(rest).repartition(-(-word_buckets // SWEEP_BUCKETS), "bucket")
+        ranges = written(
+            asked.groupBy("bucket").applyInArrow(_told(seat_range, sweep, known, roots), LEARNT),
+            "lm-ranges",
+            "zstd",
+        )
+        sums = ranges.where("kind = 'sums'").agg(F.sum("n"), F.sum("v"), F.sum("t")).first()
+        served, known, roots = (x or 0 for x in sums)
+        if sweep == BURN_IN + SWEEPS:
+            break
+        in_all = {}
+        if hot:
+            in_all = _summed(state.where("kind = 'hot'"))
+            in_all = {u: once.get(u, 0) + in_all.get(u, 0) for u in hot}
+        told = state.where("kind = 'state'").union(ranges.where("kind = 'parent'"))
+        state = written(
+            told.repartition(-(-buckets // SWEEP_BUCKETS), "bucket").groupBy("bucket").applyInArrow(
+                _told(seat_bucket, sweep, (served, known, roots), word_buckets, in_all), LEARNT
+            ),
+            "lm-tables",
+            "zstd",
+        )
+    return state.where("kind = 'state'"), ranges.where("kind = 'range'")
+
+
+def _summed(rows: DataFrame) -> dict[int, int]:
+    sums = rows.groupBy("n").agg(F.sum("v").alias("v")).collect()
+    return {r["n"] & 0xFFFFFFFFFFFFFFFF: r["v"] for r in sums}
+
+
 def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document: ``id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score`` (smoothed word counts) and ``score`` (the model), both log10.
@@ -406,7 +613,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     def send_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [("chunk", pa.int64()), ("bucket", pa.int32())]
-            + [(c, pa.binary()) for c in ("contexts", "runs", "high", "low", "counts")]
+            + [(c, pa.binary()) for c in ("contexts", "runs", "names", "word", "counts")]
         )
         for batch in batches:
             for k in range(batch.num_rows):
@@ -418,7 +625,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                words = np.frombuffer(row["words"], np.uint64)
+                words = _from_ascending(row["words"], np.uint64)
                 train = np.repeat(~np.array(row["held"], bool), row["lengths"])
                 own = _tokens(row["tokens"])[train]
                 counts = np.bincount(own, minlength=len(words)).astype(np.uint32)
@@ -430,25 +637,32 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
                             "kind": "words",
                             "chunk": row["chunk"],
                             "bucket": b,
-                            "words": words[a:z].tobytes(),
-                            "x": counts[a:z].tobytes(),
+                            "words": _ascending(words[a:z]),
+                            "x": _packed(counts[a:z]),
                         }
                         yield from _table([out]).to_batches()
 
     pairs = table.mapInArrow(
         send_pairs,
-        "chunk long, bucket int, contexts binary, runs binary, high binary, low binary, counts binary",
+        "chunk long, bucket int, contexts binary, runs binary, names binary, word binary, counts binary",
     )
+    opened = written(
+        pairs.groupBy("bucket").applyInArrow(_told(open_bucket, word_buckets, hot), LEARNT),
+        "lm-open",
+        "zstd",
+    )
+    state, ranges = _sampled(opened, buckets, word_buckets, hot)
     learnt = written(
-        pairs.groupBy("bucket").applyInArrow(lambda g: _table(seat_bucket(g, word_buckets)), LEARNT),
+        opened.where("kind = 'places'").union(state).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
+            _told(answer_bucket, word_buckets), LEARNT
+        ),
         "lm-pairs",
         "zstd",
     )
-    of_words = table.mapInArrow(send_words, LEARNT).union(learnt.where("kind in ('served', 'tables')"))
+    said = ranges.union(opened.where("kind = 'tables'")).union(learnt.where("kind = 'tables'"))
+    of_words = table.mapInArrow(send_words, LEARNT).union(said)
     answers = written(
-        of_words.groupBy("bucket").applyInArrow(lambda g: _table(seat_words(g, word_buckets)), LEARNT),
-        "lm-words",
-        "zstd",
+        of_words.groupBy("bucket").applyInArrow(_told(seat_words), LEARNT), "lm-words", "zstd"
     )
     sums = answers.where("kind = 'sums'").agg(F.sum("n"), F.sum("v"), F.sum("k"), F.sum("t")).first()
     n, v, customers, root_tables = (x or 0 for x in sums)
@@ -458,13 +672,13 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         row = next(r for r in rows if r["kind"] == "chunk")
         chunk = Chunk(row, buckets, hot)
         said = sorted((r for r in rows if r["kind"] == "words"), key=lambda r: r["bucket"])
-        counts = np.concatenate([np.frombuffer(r["words"], "<i8") for r in said])
-        kept = np.concatenate([np.frombuffer(r["x"], np.float32) for r in said]).astype(np.float64)
-        tables = np.concatenate([np.frombuffer(r["y"], np.float32) for r in said]).astype(np.float64)
+        counts = np.concatenate([_unpacked(r["words"], np.int64) for r in said])
+        kept = np.concatenate([_unpacked(r["x"], np.float32) for r in said]).astype(np.float64)
+        tables = np.concatenate([_unpacked(r["y"], np.float32) for r in said]).astype(np.float64)
         answer = np.empty(len(chunk.order))
         answer[chunk.order] = np.concatenate(
             [
-                np.frombuffer(r["x"], np.float32)
+                _unpacked(r["x"], np.float32)
                 for r in sorted((r for r in rows if r["kind"] == "pairs"), key=lambda r: r["bucket"])
             ]
         )
