@@ -320,6 +320,23 @@ def test_pages_without_main_text_keep_what_is_their_own(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_repeats_are_found_over_a_whole_large_host(spark, monkeypatch):
+    """Passages of only two pages, and pages that are the same, at any size of group."""
+    rng = random.Random(4)
+    passages = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(10)) for _ in range(20)]
+    bodies = [f"own words of page {k} {passages[k % 20]} and more of {k}" for k in range(40)]
+    bodies += [bodies[0], "too short"]
+    rows = [(k, f"http://h.example/{k}", f"<p>{b}</p>") for k, b in enumerate(bodies)]
+    rows.append((99, "http://h.example/m", f"<main>main text</main><p>{bodies[3]} and so on</p>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    streams = [b.split() for b in bodies] + [f"{bodies[3]} and so on".split()]
+    expected = {k: html.unique_text([b], c) for k, (b, c) in enumerate(zip(bodies, html.covered_tokens(streams)))}
+    expected[99] = "main text"
+    for pages in (256, 4):
+        monkeypatch.setattr(html, "HOST_PAGES", pages)
+        assert {r.page_id: r.text for r in html.extract(df).collect()} == expected
+
+
 def test_html_query(spark):
     import html as library
 
