@@ -15,7 +15,10 @@ from tidegauge.llm import (
     lines,
     packing,
     simhash,
+    spelling,
     token_files,
+    warc,
+    whitening,
 )
 from tidegauge.llm.common import table
 from tidegauge.llm.quality import MEASURES, quality
@@ -114,6 +117,26 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(rows, cosine=0.93)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = shared_folder(spark, "warc")
+    warc.write_archives(pages, path)
+    return warc.read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact"
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, wanted=4)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.count_words(docs, slip=199, min_length=6, min_count=5)
+    return spelling.group_variants(words, ratio=5)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_bpe": op2_bpe,
@@ -125,6 +148,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_warc": op11_warc,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {
@@ -178,4 +204,17 @@ ORACLES = {
             g.node = g.component_id AS kept
         FROM groups g LEFT JOIN counts c ON c.a = g.node
     """,
+    "op11_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+                sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT payload_digest, min(page_id) AS first FROM p
+            WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first <> page_id THEN first END AS refers_to, TRUE AS intact
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
 }
