@@ -432,6 +432,8 @@ def test_quality_odd_rows(spark):
     assert quality.keep_good(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 @pytest.mark.parametrize("name", ["op4_html_text", "op10_embedding_dedup"])
-def test_query_equals_its_sql(spark, name):
-    assert compare(QUERIES[name](spark, SF_DIR), connect(SF_DIR), ORACLES[name]) == []
+def test_query_equals_its_sql(spark, name, sf):
+    folder = f"/root/testdata/{sf}"
+    assert compare(QUERIES[name](spark, folder), connect(folder), ORACLES[name]) == []

@@ -176,12 +176,13 @@ ORACLES = {
                 AS formatted_chars
         FROM shown GROUP BY conv_id
     """,
-    # The pages mark their main text as one article and escape nothing but "&".
+    # The pages mark their main text as one article; of character references it holds those
+    # of the quotation mark and the ampersand, some without their semicolon.
     "op4_html_text": r"""
         SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM (
-            SELECT page_id, url, trim(regexp_replace(replace(regexp_replace(
+            SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
                 replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<b>', ''),
-                '<[^>]*>', ' ', 'g'), '&amp;', '&'), '\s+', ' ', 'g')) AS text
+                '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text
             FROM pages)
     """,
     "op10_embedding_dedup": """
