@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.oracle import compare, connect
-from tidegauge.plans.event_oracles import ORACLES
-from tidegauge.plans.events import QUERIES
+from tidegauge.plans import event_oracles, events, series, series_oracles
 
 SF_DIR = "/root/testdata/sf0.001"
+QUERIES = {**events.QUERIES, **series.QUERIES}
+ORACLES = {**event_oracles.ORACLES, **series_oracles.ORACLES}
 
 
 @pytest.fixture(scope="module")
