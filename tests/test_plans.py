@@ -150,8 +150,21 @@ def test_sparse_series_are_cut_at_every_level(spark):
     assert groups.filter("rows < 10").count() == 9  # only the first nine lack neighbours
     seen = [len(x) for x in _groups_seen(df, (60, 3600, 86_400, 30 * 86_400), 9)]
     assert seen == sorted(seen, reverse=True) and seen[-1] <= 2 * 9 * 2
-    text = plan(op.stuck_readings(df, 10))
-    assert len(re.findall(r"hashpartitioning\(device_id#\d+, (?:_level#\d+, )?_group", text)) == 5
+
+
+def test_stuck_readings_shuffle_rows_once(spark):
+    """All readings go by minute; what goes on to the key is few readings of each minute."""
+    df = spark.range(30_000).select(
+        F.lit("a").alias("device_id"),
+        F.timestamp_millis(F.col("id") * 100).alias("event_time"),
+        F.floor(F.col("id") / 40).cast("double").alias("value"),
+    )
+    found = op.stuck_readings(df, 41)
+    keys = re.findall(r"hashpartitioning\((.*?), \d+\)", plan(found))
+    assert len(keys) == 2 and "_group" in keys[0] and "_chunk" in keys[1]
+    assert found.count() == 0
+    # 50 minutes of 600 readings, in runs of 40: every minute begins and ends with a run.
+    assert op.stuck_readings(df, 40).count() == 750
 
 
 def _groups_seen(df, levels, reach):

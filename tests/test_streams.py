@@ -45,6 +45,8 @@ from tidegauge.streaming import (
     watermark_report,
 )
 
+from tidegauge.streaming.sinks import dealt_by_day
+
 MINUTE = MetricDef("minute", ("c1",), 60, 60)
 
 
@@ -188,6 +190,25 @@ def test_a_new_run_is_later_whatever_the_clock_says(spark, tmp_path, monkeypatch
     assert run_identity(spark, f"{tmp_path}/a", table) == first
 
 
+def test_a_batch_over_many_days_is_written_by_many_tasks(spark):
+    days = spark.range(4000).select(
+        F.expr("timestamp '2024-01-01' + make_interval(0, 0, 0, 0, id, 0, 0)").alias("window_start"),
+        F.lit(None).cast("string").alias("site"),
+    )
+    conf = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dealt = dealt_by_day(days.withColumn("window_date", F.to_date("window_start")), 2, ["site", "window_start"])
+        placed = dealt.withColumn("task", F.spark_partition_id())
+        assert placed.select("task").distinct().count() == 16
+        per_day = placed.groupBy("window_date").agg(F.countDistinct("task").alias("tasks"))
+        assert per_day.agg(F.max("tasks")).first()[0] == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", conf)
+
+
 def test_a_batch_writes_no_more_files_than_stated(spark, drop_file, tmp_path):
     # 40 windows of one day, and state in more parts than files.
     drop_file(*[reading("c1", f"00:{m:02d}:10", m) for m in range(40)])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import micros, seconds_between
-from tidegauge.operators.trailing import neighbour_frames, trailing
+from tidegauge.operators.trailing import neighbour_frames
 
 
 def sensor_gaps(
@@ -117,23 +117,61 @@ def stuck_readings(
     key: str = "device_id",
     ts: str = "event_time",
     tie: Sequence[str] = (),
-    chunk_s: Sequence[int] = (60, 3600, 86_400, 30 * 86_400),
+    chunk_s: int = 60,
 ) -> DataFrame:
     """Readings that repeat the value of the ``n - 1`` readings before them (EXT-2).
 
-    One task sorts the readings of a device in a minute; of sparser readings, only those
-    near the ends of a minute, hour, day and month go on to the next longer one, so no
-    task sees more than 2 (n - 1) rows for each of its parts.
+    One task sorts the readings of a device in a minute (``chunk_s``) and counts how long the
+    run of equal values is that each reading ends. A run that begins its chunk may go on from
+    the chunk before: of such runs the readings that are not stuck yet go on to a second
+    window, over the key, with the last reading of each chunk, at most ``n`` rows for a
+    chunk of any density. There each chunk's last run is added up with those before it. All
+    other readings leave, or are passed through in their own chunk, before that.
     """
-    same = (F.col("_values") == n) & (F.col("_low") == F.col("_high"))
-    frames = {
-        "_low": F.min("value"),
-        "_high": F.max("value"),
-        "_values": F.count("value"),
-    }
-    return trailing(
-        df, [key], ts, n, frames, chunk_s=chunk_s, tie=tie, keep=same
-    ).select(*df.columns)
+    order = [F.col(ts), *[F.col(t) for t in tie]]
+    ahead = (Window.unboundedPreceding, -1)
+    # Nulls repeat nothing.
+    same = F.coalesce(F.col("value") == F.col("_before"), F.lit(False))
+
+    chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
+    runs = (
+        df.filter(F.col(ts).isNotNull())
+        .withColumn("_chunk", F.floor(micros(F.col(ts)) / F.lit(chunk_s * 1_000_000)))
+        .withColumns(
+            {
+                "_nth": F.row_number().over(chunk),
+                "_before": F.lag("value").over(chunk),
+                "_last": F.lead(F.lit(False), 1, True).over(chunk),
+            }
+        )
+        .withColumn("_begun", F.max(F.when(~same, F.col("_nth"))).over(chunk))
+        .withColumn("_run", F.col("_nth") - F.col("_begun") + 1)
+        .drop("_before")
+    )
+    first, stuck = F.col("_begun") == 1, F.col("_run") >= n
+    some = F.col("value").isNotNull()
+    open_ = (first & ~stuck & some) | F.col("_last")
+    kept = runs.filter(open_ | (stuck & some)).withColumn("_group", F.when(~open_, F.col("_chunk")))
+
+    group = Window.partitionBy(key, "_group").orderBy(*order)
+    last, run = F.col("_last"), F.col("_run")
+    ended = kept.withColumns(
+        {
+            "_before": F.last(F.when(last, F.struct("value")), ignorenulls=True).over(group.rowsBetween(*ahead))["value"],
+            "_sum": F.sum(F.when(last, run)).over(group.rowsBetween(Window.unboundedPreceding, 0)),
+        }
+    )
+    # What lies ahead of the run that a chunk's last reading ends, unless it goes on.
+    base = F.when(last & ~(first & same), F.col("_sum") - run)
+    joined = ended.withColumns(
+        {
+            "_base": F.max(base).over(group.rowsBetween(*ahead)),
+            "_so_far": F.sum(F.when(last, run)).over(group.rowsBetween(*ahead)),
+        }
+    )
+    carried = F.when(first & same & F.col("_group").isNull(), F.col("_so_far") - F.col("_base"))
+    long = run + F.coalesce(carried, F.lit(0)) >= n
+    return joined.filter(long & some).select(*df.columns)
 
 
 def suppress_duplicates(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge import operators as op
@@ -15,21 +15,25 @@ from tidegauge.plans.events import (
     HOUR,
     ONE_CUT,
     STATE_PARTS,
+    WIDE_PRODUCTION,
     Query,
     _folders,
     _instants,
     _local,
+    _wanted,
     arrivals,
     devices,
     telemetry,
 )
 from tidegauge.plans.replay import replay
 from tidegauge.session import shared_folder, stream_session, utc
+from tidegauge.sources import read_revisions
 from tidegauge.streaming import (
     gaps_of,
     read_routed,
     read_sketches,
     silence_events,
+    start_metrics,
     start_routed,
     start_sketches,
 )
@@ -127,6 +131,27 @@ def late_corrected(spark, sf_dir):
     )
 
 
+def stream_revision_steps(spark, sf_dir):
+    """Every revision that the hasty metric's batches stored, numbered by batch: late readings
+    revise no window that has left the state, and a slice without readings stores nothing."""
+    hasty = WIDE_PRODUCTION.widened(name="production_hasty", delay_s=120)
+    table, checkpoints, landing = _folders(spark, "revisions", "checkpoints", "landing")
+
+    def start(stream: DataFrame):
+        return start_metrics(stream, table, checkpoints, [hasty], available_now=True)
+
+    # Nothing arrives between the first cut and the next, a microsecond later.
+    first, *others = BEFORE_FLUSH
+    cuts = (first, f"{first}.000001", *others)
+    replay(_wanted(spark, sf_dir, [hasty]), "arrival_time", cuts, landing, start, [checkpoints])
+    stored_ = read_revisions(utc(spark), table)
+    batches = stored_.select("run_id", "batch_id").distinct()
+    # One row per batch.
+    steps = batches.withColumn("step", F.dense_rank().over(Window.partitionBy("run_id").orderBy("batch_id")))
+    found = stored_.join(steps, ["run_id", "batch_id"])
+    return _local(found.select("step", "window_start", "value_sum", "value_count"))
+
+
 # --- Timers and sessions on a stream -------------------------------------------
 
 
@@ -314,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "stream_sketches": stream_sketches,
     "late_rows": late_rows,
     "late_corrected": late_corrected,
+    "stream_revision_steps": stream_revision_steps,
     "stream_silence": stream_silence,
     "session_windows": session_windows,
     "stream_sessions": stream_sessions,

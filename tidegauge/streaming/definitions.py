@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.model import REVISION_FIELDS, REVISION_PARTITIONS, TRIGGER_S, MetricDef
 from tidegauge.operators.windows import window_totals
 from tidegauge.streaming.runner import _trigger, metric_stream
-from tidegauge.streaming.sinks import FILES_PER_DAY, run_identity
+from tidegauge.streaming.sinks import FILES_PER_DAY, dealt_by_day, run_identity
 
 
 def combined_stream(telemetry: DataFrame, metrics: Iterable[MetricDef]) -> DataFrame:
@@ -97,9 +97,9 @@ def start_combined(
             }
         )
         partitions = REVISION_PARTITIONS.fieldNames()
+        stored = rows.select(*REVISION_FIELDS.fieldNames(), *partitions)
         (
-            rows.select(*REVISION_FIELDS.fieldNames(), *partitions)
-            .repartition(files, "window_start")
+            dealt_by_day(stored, files, ["window_start"])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*partitions)

@@ -119,8 +119,8 @@ def latest_reading_query(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # One row per device that changed: a single file holds it.
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # One row per device that changed, in few files; the state's tasks stay as they are.
+        batch.repartition(FILES_PER_DAY, "device_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         latest_per_device(telemetry, arrival)

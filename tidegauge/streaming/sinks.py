@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -66,11 +66,21 @@ def publish(
     writer.save(path) if path else writer.save()
 
 
+def dealt_by_day(dated: DataFrame, files: int, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt so that a write makes ``files`` files per ``window_date`` at most, and has
+    as many tasks as there are days times files, up to the session's shuffle partitions.
+
+    A day's rows go to ``files`` places by a hash of ``keys``; places of different days are
+    different keys of the shuffle, so a catch-up over many days is written by many tasks.
+    Adaptive execution is off inside a stream's batch and does not merge or split them.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(files))
+    return dated.repartition("window_date", place)
+
+
 def _laid_out(rows: DataFrame, files: int) -> DataFrame:
-    """Rows dealt so that a write makes ``files`` files per day at most. Adaptive execution
-    is off inside a stream's batch, so the number is stated rather than left to it."""
     dated = rows.withColumn("window_date", F.to_date("window_start"))
-    return dated.repartition(files, "site", "window_start")
+    return dealt_by_day(dated, files, ["site", "window_start"])
 
 
 def revision_writer(

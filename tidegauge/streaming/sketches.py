@@ -12,7 +12,7 @@ from tidegauge.model import TRIGGER_S
 from tidegauge.operators.latest import latest_revision
 from tidegauge.operators.sketches import sketch_panes
 from tidegauge.streaming.runner import _trigger
-from tidegauge.streaming.sinks import FILES_PER_DAY, run_identity
+from tidegauge.streaming.sinks import FILES_PER_DAY, dealt_by_day, run_identity
 
 
 def start_sketches(
@@ -41,7 +41,7 @@ def start_sketches(
     def write(batch: DataFrame, batch_id: int) -> None:
         place = f"{table}/run_id={run}/batch_id={batch_id}"
         dated = batch.withColumn("window_date", F.to_date("window_start"))
-        dealt = dated.repartition("window_date", F.pmod(F.xxhash64(*keys, "window_start"), F.lit(files)))
+        dealt = dealt_by_day(dated, files, [*keys, "window_start"])
         dealt.write.mode("overwrite").partitionBy("window_date").parquet(place)
 
     return (
