@@ -35,6 +35,10 @@ SCHEMA = (
 )
 
 
+#: What a salt is multiplied by before it is added to a hash.
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
     """A 64-bit finalizer: multiply and shift, twice."""
     with np.errstate(over="ignore"):
@@ -66,17 +70,25 @@ def build_index(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(bucket, kind="stable")
     size = np.bincount(bucket, minlength=buckets)
     begin = np.cumsum(size) - size
-    for b in np.argsort(-size, kind="stable"):
-        k = size[b]
+    # Shifts are tried in blocks: all keys of a bucket under all shifts of a block at once.
+    for b in np.argsort(-size, kind="stable").tolist():
+        k = int(size[b])
         if k < 2:
             break
         mine = order[begin[b] : begin[b] + k]
-        own = hashes[mine]
-        for shift in range(1, 1 << 30):
-            at = (_mix(own, 3 + shift) % np.uint64(n)).astype(np.int64)
-            if not taken[at].any() and len(set(at.tolist())) == k:
+        first, block = 1, 8
+        while True:
+            tried = np.arange(first, first + block, dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                salted = hashes[mine] + (np.uint64(3) + tried[:, None]) * GOLDEN
+            at = np.sort((_mix(salted, 0) % np.uint64(n)).astype(np.int64), axis=1)
+            good = ~taken[at].any(axis=1) & (at[:, 1:] != at[:, :-1]).all(axis=1)
+            found = int(good.argmax())
+            if good[found]:
                 break
-        shifts[b] = shift
+            first, block = first + block, 256
+        shifts[b] = first + found
+        at = (_mix(salted[found], 0) % np.uint64(n)).astype(np.int64)
         slot[mine] = at
         taken[at] = True
     single = np.flatnonzero(size == 1)
@@ -90,7 +102,7 @@ def find_slots(hashes: np.ndarray, shifts: np.ndarray, n: int) -> np.ndarray:
     """The one slot where each key can be."""
     shift = shifts[(_mix(hashes, 3) % np.uint64(len(shifts))).astype(np.int64)]
     with np.errstate(over="ignore"):
-        salted = hashes + (3 + np.maximum(shift, 0)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        salted = hashes + (3 + np.maximum(shift, 0)).astype(np.uint64) * GOLDEN
     hashed = (_mix(salted, 0) % np.uint64(n)).astype(np.int64)
     return np.where(shift < 0, -1 - shift, hashed)
 
@@ -120,7 +132,7 @@ def ids_of(text: str, library_file: str, ranks_file: str) -> np.ndarray:
     tokenizer, plain, added = _encoders(library_file, ranks_file)
     if any(x in text for x in added):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-    return np.asarray(plain.encode_to_numpy(text), np.uint32)
+    return np.array(plain.encode_ordinary(text), np.uint32)
 
 
 def _shard(part: int, seq: int, keys: list, ids: list[np.ndarray]) -> dict:
