@@ -405,20 +405,100 @@ def test_chunks_and_buckets_change_nothing_but_the_sample(spark, monkeypatch):
     assert np.abs(a - b).max() < 0.1 and abs(a.mean() - b.mean()) < 0.02
 
 
-def test_probabilities_sum_to_one(spark):
-    """Over all words, the unknown one included, after each of several contexts."""
-    train = [(i, t) for i, t in enumerate(["a b a b", "a a", "b c", "a b c d"] * 5) if not held(i)]
-    contexts, words = ["a", "b", "d", "zz"], ["a", "b", "c", "d", "never"]
-    asked = [f"{u} {w}" for u in contexts for w in words] + contexts
+def test_probabilities_of_certain_seating(spark):
+    """One text of different words: every customer has a table of its own and every word one
+    table of the parent, so the model is known in closed form."""
+    train = next(i for i in range(1000) if not held(i))
+    words = ["a", "b", "c", "d", ""]
+    follows = dict(zip(["", *words[:4]], words, strict=True))
+    v, d, strength = 5, language_model.DISCOUNT, language_model.STRENGTH
+    root_d, root = language_model.ROOT_DISCOUNT, language_model.ROOT_STRENGTH
+
+    def parent(w):
+        return ((1 - root_d) * (w in words) + (root + root_d * v) / (v + 1)) / (root + v)
+
+    def probability(w, u):
+        if u not in follows:
+            return parent(w)
+        return ((1 - d) * (follows[u] == w) + (strength + d) * parent(w)) / (strength + 1)
+
+    for u in [*words, "never"]:
+        assert sum(probability(w, u) for w in [*words, "never"]) == pytest.approx(1, rel=1e-12)
+    asked = ["", "a", "a b c d", "d c", "never", "never a never", "b b b", "A  b\n"]
     ids = [i for i in range(1000, 4000) if held(i)][: len(asked)]
-    df = spark.createDataFrame(train + list(zip(ids, asked, strict=True)), "doc_id long, text string")
+    df = spark.createDataFrame([(train, "a b c d"), *zip(ids, asked, strict=True)], "doc_id long, text string")
     score = {r.doc_id: r.score for r in language_model.score(df).collect()}
-    of = {t: score[i] for i, t in zip(ids, asked, strict=True)}
-    # "u w" is P(u) P(w | u) P(end | w) and "w" is P(w) P(end | w).
-    first = {w: of.get(w) for w in contexts}
-    assert all(x is not None and x < 0 for x in first.values())
-    total = sum(10 ** of[f"zz {w}"] for w in words)
-    assert 0 < total < 10 ** first["zz"] * 5
+    for i, t in zip(ids, asked, strict=True):
+        own = ["", *(w if w in words else "never" for w in t.lower().split()), ""]
+        expected = sum(math.log10(probability(w, u)) for u, w in zip(own, own[1:], strict=False))
+        assert score[i] == pytest.approx(expected, rel=1e-6), t
+
+
+def sequential_scores(own, seed):
+    """A sampler that updates after every draw, with its predictive probability averaged
+    over the samples; its probabilities after a context sum to one."""
+    rng = np.random.default_rng(seed)
+    d, strength = language_model.DISCOUNT, language_model.STRENGTH
+    root_d, root = language_model.ROOT_DISCOUNT, language_model.ROOT_STRENGTH
+    stirling, root_stirling = language_model._stirling(d), language_model._stirling(root_d)
+
+    def pairs(text):
+        line = ["", *tokens(text)]
+        return list(zip(line, line[1:], strict=False))
+
+    c = collections.Counter(p for i, t in own.items() if not held(i) for p in pairs(t))
+    customers, t, in_all, served = collections.Counter(), dict.fromkeys(c, 1), collections.Counter(), collections.Counter()
+    for (u, w), n in c.items():
+        customers[u] += n
+        in_all[u] += 1
+        served[w] += 1
+    roots, v = dict.fromkeys(served, 1), len(served)
+    total, root_total = sum(served.values()), len(served)
+    asked = collections.Counter()
+    for text in own.values():
+        asked.update(pairs(text))
+    mean = dict.fromkeys(asked, 0.0)
+
+    def draw(n, others, parent, discount, strength, stirling):
+        return int(
+            language_model.draw_tables(
+                np.array([n]), np.array([others]), np.array([parent]), discount, strength, stirling, rng
+            )[0]
+        )
+
+    def parent(w):
+        return (served[w] - root_d * roots.get(w, 0) + (root + root_d * root_total) / (v + 1)) / (root + total)
+
+    for sweep in range(language_model.BURN_IN + language_model.SWEEPS):
+        for w, n in served.items():
+            new = draw(n, root_total - roots[w], 1 / (v + 1), root_d, root, root_stirling) if n > 1 else 1
+            root_total += new - roots[w]
+            roots[w] = new
+        for (u, w), n in c.items():
+            if n > 1:
+                new = draw(n, in_all[u] - t[u, w], parent(w), d, strength, stirling)
+                change = new - t[u, w]
+                in_all[u], served[w], total = in_all[u] + change, served[w] + change, total + change
+                t[u, w] = new
+        if sweep >= language_model.BURN_IN:
+            for u, w in asked:
+                own_part = c[u, w] - d * t[u, w] if (u, w) in c else 0.0
+                mean[u, w] += (own_part + (strength + d * in_all[u]) * parent(w)) / (strength + customers[u])
+    mean = {p: x / language_model.SWEEPS for p, x in mean.items()}
+    return {i: sum(math.log10(mean[p]) for p in pairs(text)) for i, text in own.items()}
+
+
+def test_scores_are_those_of_a_sequential_sampler(spark):
+    own = {i: t for i, t in texts(spark).items() if i < 80}
+    df = spark.createDataFrame(list(own.items()), "doc_id long, text string")
+    found = {r.doc_id: r.score / r.n_tokens for r in language_model.score(df).collect()}
+    one, two = (sequential_scores(own, seed) for seed in (1, 2))
+    per = {i: len(tokens(t)) for i, t in own.items()}
+    apart = np.array([abs(found[i] - one[i] / per[i]) for i in own])
+    chance = np.array([abs(two[i] - one[i]) / per[i] for i in own])
+    assert apart.mean() < 0.01 and apart.max() < 0.06 + 3 * chance.max()
+    whole = [sum(x.values()) / sum(per.values()) for x in (one, two)]
+    assert sum(found[i] * per[i] for i in own) / sum(per.values()) == pytest.approx(whole[0], abs=0.003)
 
 
 def test_tables_follow_the_exact_conditional():

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import written
+from tidegauge.session import remove, shared_folder
 
 DISCOUNT, STRENGTH = 0.75, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.75, 1.0
@@ -45,6 +45,8 @@ SWEEP_BUCKETS = 8
 #: seat the customers beyond it in blocks of a thirty-second of those seated.
 EXACT_COUNT = 64
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: The word after the last of each text, and the context of the first. No word is empty.
 END = b""
 
@@ -283,11 +285,16 @@ def _told(seat, *given):
 
 
 #: What a bucket keeps of its restaurants between sweeps, and a range of words of the parent.
+#: Of each sample that counts the tables per context, and per word with those of the parent.
 _STATE = {
     "names": np.uint64, "runs": np.uint32, "base": np.uint32, "words": np.uint64, "word": np.uint32,
     "counts": np.uint32, "tables": np.uint32, "sums": np.uint32,
+    **{f"in_all{s}": np.uint32 for s in range(SWEEPS)},
+}
+_RANGE = {
+    "words": np.uint64, "base": np.int64, "roots": np.uint32,
+    **{f"{c}{s}": np.int64 for c in ("served", "roots") for s in range(SWEEPS)},
 }
-_RANGE = {"words": np.uint64, "base": np.int64, "roots": np.uint32, "served_sum": np.int64, "roots_sum": np.uint32}
 
 
 _ORDERED = {"names", "words", "word"}
@@ -308,12 +315,13 @@ def _read(kinds: dict, held: bytes) -> dict[str, np.ndarray]:
 
 
 def _by_range(kind: str, bucket: int, known: np.ndarray, value: np.ndarray, word_buckets: int) -> Iterator[dict]:
-    """A row for each range of words, for ascending hashes."""
+    """A row for each range of words, for ascending hashes; ``value`` has one number for each
+    hash, or a row of them for each sample."""
     edges = np.searchsorted(_word_bucket(known, word_buckets), np.arange(word_buckets + 1))
     for b in range(word_buckets):
         a, z = edges[b], edges[b + 1]
         if z > a:
-            yield {"kind": kind, "chunk": bucket, "bucket": b, "words": _ascending(known[a:z]), "x": _packed(value[a:z])}
+            yield {"kind": kind, "chunk": bucket, "bucket": b, "words": _ascending(known[a:z]), "x": _packed(value[..., a:z])}
 
 
 def _state_rows(bucket: int, state: dict[str, np.ndarray], word_buckets: int, hot: dict[int, int]) -> list[dict]:
@@ -370,7 +378,7 @@ def open_bucket(group: pa.Table, word_buckets: int, hot: dict[int, int]) -> list
     some = once_served > 0
     out += _by_range("once", bucket, words[some], once_served[some].astype(np.uint32), word_buckets)
     some = once_in > 0
-    out += _by_range("tables", bucket, names[some], once_in[some].astype(np.float32), word_buckets)
+    out += _by_range("tables once", bucket, names[some], once_in[some].astype(np.uint32), word_buckets)
     if hot:
         out += _hot_rows("hot once", names, once_in, hot)
     if several.any():
@@ -385,6 +393,7 @@ def open_bucket(group: pa.Table, word_buckets: int, hot: dict[int, int]) -> list
             "counts": customers[several],
             "tables": np.ones(len(word), np.int64),
             "sums": np.zeros(len(word), np.int64),
+            **{f"in_all{s}": np.zeros(len(known_names), np.int64) for s in range(SWEEPS)},
         }
         out += _state_rows(bucket, state, word_buckets, hot)
     return out
@@ -401,7 +410,7 @@ def seat_range(group: pa.Table, sweep: int, known: int, roots: int) -> list[dict
         words = np.unique(np.concatenate([w for _, w in asked]))
         base = np.zeros(len(words), np.int64)
         state = {"words": words, "base": base, "roots": np.ones(len(words), np.int64)}
-        state |= {"served_sum": np.zeros(len(words), np.int64), "roots_sum": np.zeros(len(words), np.int64)}
+        state |= {f"{c}{s}": np.zeros(len(words), np.int64) for c in ("served", "roots") for s in range(SWEEPS)}
     else:
         state = {c: x if x.dtype == np.uint64 else x.astype(np.int64) for c, x in _read(_RANGE, own["x"]).items()}
         words = state["words"]
@@ -421,8 +430,8 @@ def seat_range(group: pa.Table, sweep: int, known: int, roots: int) -> list[dict
             served, others, uniform, ROOT_DISCOUNT, ROOT_STRENGTH, _stirling(ROOT_DISCOUNT), rng
         )
         if sweep > BURN_IN:
-            state["served_sum"] += served
-            state["roots_sum"] += state["roots"]
+            state[f"served{sweep - BURN_IN - 1}"] = served
+            state[f"roots{sweep - BURN_IN - 1}"] = state["roots"]
     say, seated = served.astype(np.uint32), state["roots"].astype(np.uint32)
     out = [
         {"kind": "parent", "chunk": bucket, "bucket": r["chunk"], "x": _packed(say[place]), "y": _packed(seated[place])}
@@ -462,12 +471,14 @@ def seat_bucket(
     )
     if sweep >= BURN_IN:
         state["sums"] = state["sums"] + state["tables"]
+        own = np.bincount(context, weights=state["tables"], minlength=len(state["names"]))
+        state[f"in_all{sweep - BURN_IN}"] = own
     return _state_rows(held["bucket"], state, word_buckets, hot)
 
 
 def answer_bucket(group: pa.Table, word_buckets: int) -> list[dict]:
     """Gives back to each chunk, for its pairs in order, customers less discounted tables;
-    and per context its open pairs' tables, for the ranges of words."""
+    and per context its open pairs' tables in each sample, for the ranges of words."""
     rows = group.to_pylist()
     held = next((r for r in rows if r["kind"] == "state"), None)
     out, open_ = [], np.zeros(0, np.float32)
@@ -475,8 +486,7 @@ def answer_bucket(group: pa.Table, word_buckets: int) -> list[dict]:
         state = _read(_STATE, held["x"])
         mean = state["sums"] / SWEEPS
         open_ = (state["counts"] - DISCOUNT * mean).astype(np.float32)
-        context = np.repeat(np.arange(len(state["names"])), state["runs"])
-        in_all = np.bincount(context, weights=mean, minlength=len(state["names"])).astype(np.float32)
+        in_all = np.stack([state[f"in_all{s}"] for s in range(SWEEPS)])
         out += _by_range("tables", held["bucket"], state["names"], in_all, word_buckets)
     for r in rows:
         if r["kind"] == "places":
@@ -499,16 +509,19 @@ def seat_words(group: pa.Table) -> list[dict]:
     counts = np.bincount(
         place, weights=np.concatenate([_unpacked(r["x"], np.uint32) for r in asked]), minlength=len(words)
     ).astype(np.int64)
-    kept, tables, customers, roots = np.zeros(len(words)), np.zeros(len(words)), 0.0, 0.0
+    kept, tables = np.zeros((SWEEPS, len(words))), np.zeros((SWEEPS, len(words)), np.int64)
+    customers, roots = np.zeros(SWEEPS), np.zeros(SWEEPS)
     for r in rows:
         if r["kind"] == "range":  # by the first 48 bits
             own = _read(_RANGE, r["x"])
             at = np.searchsorted(words >> np.uint64(16), own["words"] >> np.uint64(16))
-            kept[at] = (own["served_sum"] - ROOT_DISCOUNT * own["roots_sum"]) / SWEEPS
-            customers, roots = own["served_sum"].sum() / SWEEPS, own["roots_sum"].sum() / SWEEPS
-        elif r["kind"] == "tables":
+            for s in range(SWEEPS):
+                kept[s, at] = own[f"served{s}"] - ROOT_DISCOUNT * own[f"roots{s}"]
+                customers[s], roots[s] = own[f"served{s}"].sum(), own[f"roots{s}"].sum()
+        elif r["kind"] in ("tables", "tables once"):
             at = np.searchsorted(words, _from_ascending(r["words"], np.uint64))
-            np.add.at(tables, at, _unpacked(r["x"], np.float32))
+            found = _unpacked(r["x"], np.uint32).astype(np.int64)
+            np.add.at(tables, (slice(None), at), found.reshape(-1, len(at)))
     bucket = group.column("bucket")[0].as_py()
     out, at = [], 0
     for r, h in zip(asked, hashes, strict=True):
@@ -520,12 +533,14 @@ def seat_words(group: pa.Table) -> list[dict]:
                 "chunk": r["chunk"],
                 "bucket": bucket,
                 "words": _packed(counts[own_place]),
-                "x": _packed(kept[own_place].astype(np.float32)),
-                "y": _packed(tables[own_place].astype(np.float32)),
+                "x": _packed(kept[:, own_place].astype(np.float32)),
+                "y": _packed(tables[:, own_place]),
             }
         )
     known = int((counts > 0).sum())
-    out.append({"kind": "sums", "n": int(counts.sum()), "v": known, "k": float(customers), "t": float(roots)})
+    out.append({"kind": "sums", "n": int(counts.sum()), "v": known})
+    for s in range(SWEEPS):
+        out.append({"kind": "sample", "n": s, "k": float(customers[s]), "t": float(roots[s])})
     return out
 
 
@@ -554,21 +569,29 @@ def _frequent_contexts(table: DataFrame, total: int, buckets: int) -> dict[int,
 
 def _sampled(
     opened: DataFrame, buckets: int, word_buckets: int, hot: dict[int, int]
-) -> tuple[DataFrame, DataFrame]:
-    """The buckets' and the ranges' states after all sweeps. Between two sweeps the tables
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The buckets' and the ranges' states after all sweeps, and the folders they lie in. Between two sweeps the tables
     per word are summed over all buckets and the parent is sampled from them; the tables
     of dealt contexts, at most eight of these per bucket, are summed likewise."""
     once = {}
     if hot:
         once = _summed(opened.where("kind = 'hot once'"))
     state, ranges, known, roots = opened, None, 0, 0
+    folders: dict[str, str] = {}
+
+    def settled(df: DataFrame, purpose: str) -> DataFrame:
+        """Written in place of the table of the sweep before, which nothing needs then."""
+        found, folder = _written(df, purpose)
+        if purpose in folders:
+            remove(df.sparkSession, folders[purpose])
+        folders[purpose] = folder
+        return found
+
     for sweep in range(BURN_IN + SWEEPS + 1):
         rest = opened.where("kind = 'once'") if ranges is None else ranges.where("kind = 'range'")
         asked = state.where("kind = 'served'").union(rest).repartition(-(-word_buckets // SWEEP_BUCKETS), "bucket")
-        ranges = written(
-            asked.groupBy("bucket").applyInArrow(_told(seat_range, sweep, known, roots), LEARNT),
-            "lm-ranges",
-            "zstd",
+        ranges = settled(
+            asked.groupBy("bucket").applyInArrow(_told(seat_range, sweep, known, roots), LEARNT), "lm-ranges"
         )
         sums = ranges.where("kind = 'sums'").agg(F.sum("n"), F.sum("v"), F.sum("t")).first()
         served, known, roots = (x or 0 for x in sums)
@@ -579,14 +602,27 @@ def _sampled(
             in_all = _summed(state.where("kind = 'hot'"))
             in_all = {u: once.get(u, 0) + in_all.get(u, 0) for u in hot}
         told = state.where("kind = 'state'").union(ranges.where("kind = 'parent'"))
-        state = written(
+        state = settled(
             told.repartition(-(-buckets // SWEEP_BUCKETS), "bucket").groupBy("bucket").applyInArrow(
                 _told(seat_bucket, sweep, (served, known, roots), word_buckets, in_all), LEARNT
             ),
             "lm-tables",
-            "zstd",
         )
-    return state.where("kind = 'state'"), ranges.where("kind = 'range'")
+    return state.where("kind = 'state'"), ranges.where("kind = 'range'"), list(folders.values())
+
+
+def _written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """``df`` as a table in the shared folder, and its folder. Once it is written, what was
+    shuffled for it is removed from the executors' disks (a setting of Spark, which is put
+    back as it was)."""
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder), folder
 
 
 def _summed(rows: DataFrame) -> dict[int, int]:
@@ -604,7 +640,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     probability of the one unknown word, 1. An empty table gives an empty result.
     """
     kind = docs.schema[id].dataType.simpleString()
-    table = written(chunks(docs, id, text), "lm-chunks", "zstd")
+    table, _ = _written(chunks(docs, id, text), "lm-chunks")
     total = table.agg(F.sum("n_tokens")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_TOKENS))
     word_buckets = max(1, -(-total // WORD_BUCKET_TOKENS))
@@ -646,26 +682,26 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         send_pairs,
         "chunk long, bucket int, contexts binary, runs binary, names binary, word binary, counts binary",
     )
-    opened = written(
-        pairs.groupBy("bucket").applyInArrow(_told(open_bucket, word_buckets, hot), LEARNT),
-        "lm-open",
-        "zstd",
+    opened, opened_folder = _written(
+        pairs.groupBy("bucket").applyInArrow(_told(open_bucket, word_buckets, hot), LEARNT), "lm-open"
     )
-    state, ranges = _sampled(opened, buckets, word_buckets, hot)
-    learnt = written(
+    state, ranges, sampled = _sampled(opened, buckets, word_buckets, hot)
+    learnt, _ = _written(
         opened.where("kind = 'places'").union(state).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
             _told(answer_bucket, word_buckets), LEARNT
         ),
         "lm-pairs",
-        "zstd",
     )
-    said = ranges.union(opened.where("kind = 'tables'")).union(learnt.where("kind = 'tables'"))
+    said = ranges.union(opened.where("kind = 'tables once'")).union(learnt.where("kind = 'tables'"))
     of_words = table.mapInArrow(send_words, LEARNT).union(said)
-    answers = written(
-        of_words.groupBy("bucket").applyInArrow(_told(seat_words), LEARNT), "lm-words", "zstd"
-    )
-    sums = answers.where("kind = 'sums'").agg(F.sum("n"), F.sum("v"), F.sum("k"), F.sum("t")).first()
-    n, v, customers, root_tables = (x or 0 for x in sums)
+    answers, _ = _written(of_words.groupBy("bucket").applyInArrow(_told(seat_words), LEARNT), "lm-words")
+    for folder in (opened_folder, *sampled):
+        remove(table.sparkSession, folder)
+    n, v = (x or 0 for x in answers.where("kind = 'sums'").agg(F.sum("n"), F.sum("v")).first())
+    seen = answers.where("kind = 'sample'").groupBy("n").agg(F.sum("k").alias("k"), F.sum("t").alias("t"))
+    samples = {r["n"]: (r["k"], r["t"]) for r in seen.collect()}
+    # Customers and tables of the parent in each sample.
+    customers, root_tables = np.array([samples.get(s, (0.0, 0.0)) for s in range(SWEEPS)]).T
 
     def finish(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -673,8 +709,10 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         chunk = Chunk(row, buckets, hot)
         said = sorted((r for r in rows if r["kind"] == "words"), key=lambda r: r["bucket"])
         counts = np.concatenate([_unpacked(r["words"], np.int64) for r in said])
-        kept = np.concatenate([_unpacked(r["x"], np.float32) for r in said]).astype(np.float64)
-        tables = np.concatenate([_unpacked(r["y"], np.float32) for r in said]).astype(np.float64)
+        kept, tables = (
+            np.concatenate([_unpacked(r[c], kind).reshape(SWEEPS, -1) for r in said], axis=1).astype(np.float64)
+            for c, kind in (("x", np.float32), ("y", np.int64))
+        )
         answer = np.empty(len(chunk.order))
         answer[chunk.order] = np.concatenate(
             [
@@ -683,9 +721,13 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
             ]
         )
         fresh = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (v + 1)
-        parent = (kept + fresh) / (ROOT_STRENGTH + customers)
         u, w = chunk.context, chunk.word
-        of_pair = (answer + (STRENGTH + DISCOUNT * tables[u]) * parent[w]) / (STRENGTH + counts[u])
+        # The probability that a new table is opened and serves the word, sample by sample.
+        opened_for = np.zeros(len(u))
+        for s in range(SWEEPS):
+            parent = (kept[s] + fresh[s]) / (ROOT_STRENGTH + customers[s])
+            opened_for += (STRENGTH + DISCOUNT * tables[s][u]) * parent[w]
+        of_pair = (answer + opened_for / SWEEPS) / (STRENGTH + counts[u])
         base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
         texts = len(chunk.lengths)
 
