@@ -100,7 +100,8 @@ def stream_sketches(spark, sf_dir):
 def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counter readings under a delay too short for the flushes, kept and late ones."""
     table, checkpoint, landing = _folders(spark, "routed", "checkpoint", "landing")
-    rows = _instants(arrivals(stream_session(spark, STATE_PARTS), sf_dir).drop("site"))
+    live = stream_session(spark, STATE_PARTS, small_state=True)
+    rows = _instants(arrivals(live, sf_dir).drop("site"))
     own = rows.filter(F.col("device_id") == "purchase")
 
     def start(stream: DataFrame):

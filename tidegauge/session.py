@@ -6,6 +6,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# State in executors' memory: for a few numbers per partition, for which stores on disk,
+# some megabytes each, would be out of proportion.
+SMALL_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    ),
+}
 # State off the heap, of which a batch uploads only the changes.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -52,8 +59,11 @@ def utc(spark: SparkSession) -> SparkSession:
     return _sibling(spark, **{"spark.sql.session.timeZone": "UTC"})
 
 
-def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
-    """A UTC sibling session whose streaming state lives in RocksDB.
+def stream_session(
+    spark: SparkSession, partitions: int | None = None, small_state: bool = False
+) -> SparkSession:
+    """A UTC sibling session whose streaming state lives in RocksDB, or in memory if it is
+    a ``small_state`` (of :func:`tidegauge.streaming.start_routed`: two counts a part).
 
     The state has ``partitions`` parts, or as many as the session's
     ``spark.sql.shuffle.partitions`` says: each is a store of its own that every batch
@@ -67,7 +77,7 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
         **{
             "spark.sql.session.timeZone": "UTC",
             "spark.sql.shuffle.partitions": str(partitions),
-            **STATE_SETTINGS,
+            **(SMALL_STATE_SETTINGS if small_state else STATE_SETTINGS),
         },
     )
 

@@ -101,7 +101,8 @@ def start_routed(
 ) -> StreamingQuery:
     """Starts the routing into a table laid out by ``late``: the kept readings are the input
     of the metric, the late ones its side table. A batch owns its directory and overwrites
-    it, so a repeated batch changes nothing."""
+    it, so a repeated batch changes nothing. Its state is two counts for each part: start
+    it from ``stream_session(spark, small_state=True)``."""
     run = run_identity(telemetry.sparkSession, checkpoint, table)
 
     def write(batch: DataFrame, batch_id: int) -> None:
