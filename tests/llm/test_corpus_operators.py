@@ -326,6 +326,45 @@ def test_line_dedup_equals_brute_force(spark, monkeypatch):
     assert {r.doc_id: r.text for r in lines.dedup_lines(df).collect()} == expected
 
 
+def templated(seed, n=160):
+    """Documents of lines of a few templates: dense and sparse numbers, several fields, edits."""
+    rng = random.Random(seed)
+    docs = []
+    for i in range(n):
+        own = [
+            f"request number {rng.randrange(10**9):09d} was served from the cache",
+            f"{rng.randrange(400):04d} pages of this book were printed",
+            f"at {rng.randrange(10**5)} the host {rng.choice('ab')}{rng.randrange(10**4)} sent {rng.randrange(99)}",
+        ]
+        if docs:
+            own.append(changed(rng, rng.choice(rng.choice(docs)[1].split("\n")), rng.choice([0, 1, 2, 3])))
+        docs.append((i, "\n".join(own)))
+    return docs
+
+
+@pytest.mark.parametrize("hot", [2, 16])
+def test_lines_of_templates_equal_brute_force(spark, monkeypatch, hot):
+    docs = templated(8)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(lines, "HOT_LINES", hot)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(df).collect()} == plain_dedup(docs)
+
+
+def test_hot_keys_of_all_kinds_equal_brute_force(spark, monkeypatch):
+    docs = corpus(6)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(lines, "HOT_LINES", 1)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(df).collect()} == plain_dedup(docs)
+
+
+def test_lines_of_one_template_make_few_pairs(spark):
+    rng = random.Random(9)
+    own = sorted({f"request number {rng.randrange(10**12):012d} was served from the cache of the node" for _ in range(3000)})
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(own)], "node long, line string")
+    pairs, _ = lines._candidates(df.withColumn("sig", lines.signature(F.col("line"))))
+    assert pairs.count() < 10 * len(own)
+
+
 def test_line_dedup_odd_rows(spark):
     long_ = "a line that is long enough to count"
     rows = [

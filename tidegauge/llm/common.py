@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.session import shared_folder
+from tidegauge.session import remove, shared_folder
 
 #: The six ASCII white-space characters that part words: \x20 and \x09-\x0D.
 WHITE = " \t\n\x0b\x0c\r"
@@ -36,10 +36,14 @@ def bind(value: Column, body) -> Column:
 def written(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: later jobs read it, lost executors
     cost no recomputation beyond it."""
+    return _written_at(df, purpose, compression)[0]
+
+
+def _written_at(df: DataFrame, purpose: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def connected_components(edges: DataFrame, purpose: str = "components") -> DataFrame:
@@ -48,19 +52,18 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     Alternating large-star and small-star steps: every step is one grouping with a
     partial minimum and one join on nodes, so a hub with very many links is summed
     before the shuffle and its join is one that can be split. Ends when a round
-    changes nothing, after about log2 of the longest chain rounds. Each round is a
-    written table. Self links, repeated links and either direction are fine; an empty
+    changes no link, after about log2 of the longest chain rounds. Each round is a
+    written table that takes the place of the one before. Self links, repeated links and either direction are fine; an empty
     input gives an empty result. Returns ``node``, ``component``; every node of an edge
     occurs once.
     """
-    links = written(
+    given = written(
         edges.where("a is not null and b is not null")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
         purpose,
     )
-    nodes = None
-    before = None
+    links, folder, number = given, None, None
     while True:
         both = links.where("a <> b")
         # Large star: each node sends its larger neighbours to its smallest one.
@@ -81,17 +84,16 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
             .union(low.select("a", F.col("m").alias("b")))
             .distinct()
         )
-        after = written(small, purpose)
-        if nodes is None:
-            nodes = links
-        state = after.agg(
-            F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b") % 1_000_003), F.lit(0))
-        ).first()
-        links = after
-        if state == before:
+        after, its_folder = _written_at(small, purpose)
+        its_number = after.count()
+        # No link repeats in a round: as many as before and none of them new is the same set.
+        done = its_number == number and after.join(links, ["a", "b"], "left_anti").isEmpty()
+        if folder is not None:
+            remove(edges.sparkSession, folder)
+        links, folder, number = after, its_folder, its_number
+        if done:
             break
-        before = state
-    every = nodes.select(F.col("a").alias("node")).union(nodes.select("b")).distinct()
+    every = given.select(F.col("a").alias("node")).union(given.select("b")).distinct()
     roots = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return every.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")
