@@ -332,9 +332,10 @@ def _candidates(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         some = not hot.isEmpty()
         cold = index.join(hot, "key", "left_anti") if some else index
         pairs = _pairs(cold, probe, "key")
-        found = pairs if found is None else found.union(pairs)
+        found = pairs if found is None else found.union(pairs).distinct()
         if not some:
             return found.distinct(), dense
+        found = written(found, "line-pairs")
         own, others = _refined(index, probe, hot)
         # The length left is the same for all lines entered under one path.
         short = own.where(F.length("rest") <= EDITS)
@@ -393,7 +394,7 @@ def near_line_links(distinct: DataFrame, docs: DataFrame, id: str = "doc_id", te
         .agg(F.min("of_node").alias("low"), F.max("of_node").alias("high"))
     )
     loose = placed.where("side = 1").join(whole, "path").where("low < high or of_node <> low")
-    every = pairs.union(_pairs(own, loose, "path")).distinct()
+    every = written(pairs.union(_pairs(own, loose, "path")).distinct(), "line-pairs")
     apart = (
         every.join(group("a"), "a", "left")
         .join(group("b"), "b", "left")
