@@ -26,8 +26,10 @@ MIN_CHARS = 20
 #: Needed lines up to this number are sent to every executor (16 bytes each), which spares
 #: a shuffle of all texts; beyond it the texts are shuffled.
 FEW_LINES = 200_000
-#: A key under which more lines than this are entered is refined.
-HOT_LINES = 64
+#: A key under which more lines than this are entered is refined. Below it a line meets at
+#: most so many others under a key, each by a test of two numbers, which costs less than the
+#: shuffles of another level; so the pairs tested grow with the lines, not with their square.
+HOT_LINES = 512
 
 # Frequent letters, whose counts rule out most pairs before verification.
 LETTERS = "etanoirshdlucmp"
