@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -228,6 +229,47 @@ def test_recall_near_the_threshold(spark):
     assert len(check_embeddings(spark, rows, least=0.9)) >= 300
 
 
+def test_embedding_index_follows_the_rows():
+    rng = np.random.default_rng(11)
+    sample = rng.normal(size=(3000, 64))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    few, many = (embeddings.learn_index(sample, 64, rows, 0.93) for rows in (500, 50_000))
+    assert len(few.tables[0]) < len(many.tables[0]) and len(few.tables) < len(many.tables)
+    # Neighbours planted anew, not those that the tables were chosen by.
+    aside = rng.normal(size=sample.shape)
+    aside -= (aside * sample).sum(axis=1, keepdims=True) * sample
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    turned = 0.93 * sample + math.sqrt(1 - 0.93**2) * aside
+    for index in (few, many):
+        differ = index.signs(sample) != index.signs(turned)
+        distance = np.bitwise_count(embeddings.packed(index.signs(sample)) ^ embeddings.packed(index.signs(turned)))
+        assert (distance.sum(axis=1) == differ.sum(axis=1)).all()
+        met = np.any([~differ[:, own].any(axis=1) for own in index.tables], axis=0)
+        assert met.mean() > 0.96 and (differ.sum(axis=1) <= index.radius).mean() > 0.995
+
+
+def test_embedding_batches_are_cut_between_buckets():
+    rng = random.Random(12)
+    bucket = sorted(rng.choice([rng.randrange(60), 7, 8]) for _ in range(400))
+    for size in (1, 3, 50, 1000):
+        parts = [bucket[k : k + size] for k in range(0, len(bucket), size)]
+        batches = [pa.RecordBatch.from_pydict({"bucket": pa.array(x, pa.int64())}) for x in [[], *parts]]
+        chunks = [t.column("bucket").to_pylist() for t in embeddings._whole_runs(iter(batches))]
+        assert sum(chunks, []) == bucket
+        assert all(a[-1] < b[0] for a, b in zip(chunks, chunks[1:], strict=False))
+
+
+@pytest.mark.parametrize("small", [1, 64])
+def test_embedding_lengths_and_bucket_sizes(spark, monkeypatch, small):
+    monkeypatch.setattr(embeddings, "SMALL", small)
+    rng = np.random.default_rng(13)
+    rows = []
+    for k in range(240):
+        centre = np.random.default_rng(k % 6).normal(size=(8, 70, 130)[k % 3])
+        rows.append((k, k % 2, (centre + rng.normal(scale=0.02, size=len(centre))).astype(np.float32).tolist()))
+    assert len(check_embeddings(spark, rows)) > 1000
+
+
 def test_embedding_odd_rows(spark):
     v = [1.0, 2.0, 3.0, 4.0]
     rows = [
