@@ -37,6 +37,9 @@ PLANTED = 4_000
 #: Share of the planted neighbours that meet in some table, and that are within the radius.
 #: Pairs nearer than the threshold meet more often.
 MEET, WITHIN = 0.985, 0.9995
+#: Rows of the largest label for each value of a key. Testing so many codes costs less than
+#: entering a vector in the further tables that longer keys would need.
+KEY_ROWS = 32
 #: If more tables than this were needed, keys get shorter instead.
 MOST_TABLES = 64
 #: A key with more vectors is compared in tiles of about so many.
@@ -130,7 +133,7 @@ def learn_index(sample: np.ndarray, dim: int, rows: int, cosine: float) -> Index
     index = Index(mean, turn, [], dim)
     differ = index.signs(near) != index.signs(turned)
     radius = int(np.quantile(differ.sum(axis=1), WITHIN, method="higher"))
-    width = min(dim, max(1, math.ceil(math.log2(max(rows, 2)))))
+    width = min(dim, max(1, math.ceil(math.log2(max(rows / KEY_ROWS, 2)))))
     while True:
         tables = key_bits(dim, width, MOST_TABLES)
         met = np.array([~differ[:, own].any(axis=1) for own in tables])
@@ -236,6 +239,8 @@ def _entries(distinct: DataFrame, indexes: Indexes) -> DataFrame:
         .where(F.col("count") > 2 * TILE)
         .select(*at, F.ceil(F.col("count") / TILE).alias("tiles"))
     )
+    # Written, so that its size is known before the join: vectors move for it only if it is large.
+    large = written(large, "vector-keys")
     tiled = entered.join(large, at, "left")
     # Tile (i, j), i <= j, holds block i and block j; a vector of block b is in all with b.
     own = F.pmod(F.xxhash64("rep"), F.col("tiles"))
