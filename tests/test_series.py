@@ -291,6 +291,40 @@ def test_time_frames_equal_a_search(spark, seed, before, after, chunk):
     assert Counter(map(tuple, totals.collect())) == Counter((*k[:3], *k[4:]) for k in expected.elements())
 
 
+@pytest.mark.parametrize("seed,before,after,chunk", [(1, 60, 0, None), (2, 500, 100, 50), (3, 0, 0, 10), (4, 0.5, 3000, 700)])
+def test_lowest_and_highest_equal_a_search(spark, seed, before, after, chunk):
+    rows = random_readings(seed, 250, 6000)
+    rows += [("a", None, 1.0), ("a", at(100), None), (None, at(100), 2.0), ("b", at(-3), float("nan")), *rows[:5]]
+    df = readings(spark, rows).withColumn("rank", F.round("value"))
+    found = op.time_frames(
+        df, ["device_id"], {"rows": F.count(F.lit(1))}, before, after, chunk_s=chunk,
+        lowest={"low": "value", "low_rank": "rank"}, highest={"high": "value"},
+    )
+    frames = [F.count(F.lit(1)), F.min("value"), F.min("rank"), F.max("value")]
+    other = df.alias("o").select(F.col("device_id").alias("d"), F.col("event_time").alias("t"), F.struct("value", "rank").alias("v"))
+    near = (
+        F.col("d").eqNullSafe(F.col("device_id"))
+        & (F.col("t") >= F.col("event_time") - F.make_dt_interval(secs=F.lit(before)))
+        & (F.col("t") <= F.col("event_time") + F.make_dt_interval(secs=F.lit(after)))
+    )
+    numbered = df.withColumn("_n", F.monotonically_increasing_id()).localCheckpoint()
+    met = numbered.join(other, near).drop("value", "rank").select("*", "v.value", "v.rank")
+    sums = met.groupBy("_n").agg(*frames)
+    expected = numbered.join(sums, "_n").drop("_n")
+
+    def counted(df):
+        return Counter(tuple(map(str, r)) for r in df.collect())
+
+    assert counted(found) == counted(expected)
+
+
+def test_extremes_go_through_no_frame_anew(spark):
+    # A frame that begins at its first row is gone through anew for each row: its cost grows
+    # with the square of the readings in an hour. Only frames that grow have a cost per row.
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]*),", plan(series.time_extremes(spark, SF_DIR)))
+    assert frames and {begin for _, begin in frames} == {"unboundedpreceding$()"}
+
+
 def test_frames_go_by_chunk_and_read_once(spark):
     for name in ("time_baseline", "time_extremes"):
         df = series.QUERIES[name](spark, SF_DIR)

@@ -303,9 +303,9 @@ def time_baseline(spark, sf_dir):
 
 def time_extremes(spark, sf_dir):
     """Lowest and highest reading of a device within an hour of each one."""
-    frames = {"low": F.min("value"), "high": F.max("value")}
     rows = telemetry(spark, sf_dir).drop("site")
-    return op.time_frames(rows, ["device_id"], frames, HOUR, HOUR)
+    ends = {"lowest": {"low": "value"}, "highest": {"high": "value"}}
+    return op.time_frames(rows, ["device_id"], {}, HOUR, HOUR, **ends)
 
 
 def global_rank(spark, sf_dir):
