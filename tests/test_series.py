@@ -266,6 +266,42 @@ def test_near_readings_equal_a_search(spark, before, after, how):
             expected[(k, t, i, *r)] += 1
     assert Counter(map(tuple, found.collect())) == expected
     assert no_pairing(plan(found))
+    groups = op.near_in_time(
+        spark.createDataFrame(left, "k string, event_time timestamp, id int"),
+        spark.createDataFrame(right, "k string, right_time timestamp, rid int"),
+        before,
+        after,
+        keys=["k"],
+        grouped=True,
+    )
+    pairs = op.near_pairs(groups, how)
+    assert pairs.columns == found.columns
+    timed = Counter({k: n for k, n in expected.items() if k[1] is not None})
+    assert Counter(map(tuple, pairs.collect())) == timed
+
+
+def test_the_stream_of_near_readings_keeps_readings_and_not_pairs(spark, tmp_path, monkeypatch):
+    # 300 views and clicks in ten minutes, most near each other, and some of their own.
+    kinds = [("view", s) for s in range(0, 600, 2)] + [("click", s) for s in range(1, 601, 2)]
+    kinds += [("view", 5000), ("click", 5301), ("view", 9000), ("click", 9300), ("view", 2_700_000), ("click", 2_700_300)]
+    rows = [(i, at(s), i % 7, kind, i / 4, None) for i, (kind, s) in enumerate(kinds)]
+    types = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, types).write.parquet(str(tmp_path / "events.parquet"))
+    kept = []
+
+    def appended(*args):
+        kept.append(made(*args))
+        return kept[-1]
+
+    made = series._appended
+    monkeypatch.setattr(series, "_appended", appended)
+    found = series.stream_near_readings(spark, str(tmp_path))
+    expected = series.near_readings(spark, str(tmp_path))
+    assert found.columns == expected.columns
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+    assert found.count() > 60_000
+    sizes = kept[0].select(F.sum(F.size("_lefts")), F.sum(F.size("_rights"))).first()
+    assert sizes[0] == 303 and sizes[1] <= 2 * 303
 
 
 # --- Frames by time ------------------------------------------------------------

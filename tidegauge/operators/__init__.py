@@ -40,7 +40,7 @@ from tidegauge.operators.sketches import (
     sketch_panes,
     sketch_values,
 )
-from tidegauge.operators.temporal_joins import as_of, near_in_time, within_spans
+from tidegauge.operators.temporal_joins import as_of, near_in_time, near_pairs, within_spans
 from tidegauge.operators.trailing import neighbour_frames, trailing
 from tidegauge.operators.views import (
     data_lag,
@@ -86,6 +86,7 @@ __all__ = [
     "metrics_by_definition",
     "multiset_difference",
     "near_in_time",
+    "near_pairs",
     "neighbour_frames",
     "newest",
     "options",

@@ -6,8 +6,10 @@ into chunks or buckets that are part of the key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,6 +191,7 @@ def near_in_time(
     ts: str = "event_time",
     right_ts: str = "right_time",
     how: str = "left_outer",
+    grouped: bool = False,
 ) -> DataFrame:
     """Pairs of rows whose times lie close: ``right_ts`` from ``before_s`` seconds before the
     left time to ``after_s`` after it, both included; columns of both, keys once.
@@ -198,7 +201,15 @@ def near_in_time(
     that it can reach. So a series without other keys is spread over its buckets, and a pair
     meets once. On two streams, each behind its watermark, a row is kept in state only
     until the watermarks rule out a partner, and a left row without one is emitted then.
+
+    Pairs grow with the square of the readings in a bucket. With ``grouped`` the result is a row
+    per bucket instead, as large as the readings: its left rows, each with where its partners
+    begin and how many they are among the right rows. :func:`near_pairs` makes the pairs of
+    these, by ``how``; left rows without time are left out. On streams a bucket is emitted when
+    the watermarks have passed it.
     """
+    if grouped:
+        return _near_groups(left, right, before_s, after_s, keys, ts, right_ts)
     width = max(1, before_s + after_s) * US
     at, near = micros(F.col(ts)), micros(F.col(right_ts))
     bucket = F.floor(at / width)
@@ -214,3 +225,90 @@ def near_in_time(
         together = together & (F.col(k) == F.col(f"_{k}"))
     own = [c for c in right.columns if c not in keys]
     return one.join(two, together, how).select(*left.columns, *own)
+
+
+def near_pairs(groups: DataFrame, how: str = "left_outer") -> DataFrame:
+    """The pairs that groups of :func:`near_in_time` stand for, which are dealt out first: few
+    files of groups may stand for very many pairs."""
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = groups.repartition(parts).select(F.explode("_lefts").alias("_one"), "_rights")
+    partners = F.slice("_rights", F.col("_one.first") + 1, F.col("_one.n"))
+    explode = F.explode_outer if how == "left_outer" else F.explode
+    return rows.select("_one.row", explode(partners).alias("_other")).select("row.*", "_other.*")
+
+
+def _near_groups(
+    left: DataFrame, right: DataFrame, before_s: int, after_s: int, keys: Sequence[str], ts: str, right_ts: str
+) -> DataFrame:
+    """``_lefts`` (``row``, ``first``, ``n``) and ``_rights``, in the order of time, of each bucket.
+
+    A bucket is the window of all right rows that its left rows can reach: two of them hold a
+    right row, one a left row, that in the middle of the window.
+    """
+    width = max(1, before_s + after_s)
+    own = [c for c in right.columns if c not in keys]
+    found = right
+    for k in keys:
+        found = found.where(F.col(k).isNotNull())
+    one = left.select(*keys, F.col(ts).alias("_time"), F.struct(*left.columns).alias("_left"))
+    two = found.select(*keys, F.col(right_ts).alias("_time"), F.struct(*own).alias("_right"))
+    kinds = {**dict(one.dtypes), **dict(two.dtypes)}
+    span = F.window("_time", f"{2 * width} seconds", f"{width} seconds", f"{-before_s % width} seconds")
+    rows = one.withColumn("_right", F.lit(None).cast(kinds["_right"])).unionByName(
+        two.withColumn("_left", F.lit(None).cast(kinds["_left"]))
+    )
+    middle = F.col("_span.start") + F.expr(f"interval {before_s} seconds")
+    in_middle = (F.col("_time") >= middle) & (F.col("_time") < middle + F.expr(f"interval {width} seconds"))
+    buckets = (
+        rows.withColumn("_span", span)
+        .where(F.col("_left").isNull() | in_middle)
+        .groupBy(*keys, "_span")
+        .agg(F.collect_list("_left").alias("_lefts"), F.collect_list("_right").alias("_rights"))
+        .where(F.size("_lefts") > 0)
+        .select("_lefts", "_rights")
+    )
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUPS):
+                part = batch.slice(at, GROUPS)
+                yield _matched(part.column(0), part.column(1), ts, right_ts, before_s * US, after_s * US)
+
+    lefts = f"array<struct<row: {kinds['_left']}, first: int, n: int>>"
+    return buckets.mapInArrow(matched, f"_lefts {lefts}, _rights array<{kinds['_right']}>")
+
+
+#: Buckets that leave a Python worker at a time.
+GROUPS = 16
+
+
+def _matched(
+    lefts: pa.ListArray, rights: pa.ListArray, ts: str, right_ts: str, before: int, after: int
+) -> pa.RecordBatch:
+    """Right rows in the order of time, and the place of those near each left row."""
+
+    def bounds(lists: pa.ListArray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int32)
+
+    def times(rows: pa.StructArray, name: str) -> np.ndarray:
+        return rows.field(name).cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+    left, right = lefts.flatten(), rights.flatten()
+    begin, right_begin = bounds(lefts), bounds(rights)
+    at, near = times(left, ts), times(right, right_ts)
+    group = np.repeat(np.arange(len(rights)), np.diff(right_begin))
+    order = np.lexsort((near, group))
+    near = near[order]
+    first, end = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
+    for k in range(len(lefts)):
+        mine, other = slice(begin[k], begin[k + 1]), near[right_begin[k] : right_begin[k + 1]]
+        first[mine] = np.searchsorted(other, at[mine] - before, "left")
+        end[mine] = np.searchsorted(other, at[mine] + after, "right")
+    placed = pa.StructArray.from_arrays([left, pa.array(first), pa.array(end - first)], ["row", "first", "n"])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.ListArray.from_arrays(pa.array(begin), placed),
+            pa.ListArray.from_arrays(pa.array(right_begin), right.take(pa.array(order))),
+        ],
+        ["_lefts", "_rights"],
+    )

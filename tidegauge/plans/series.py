@@ -156,11 +156,15 @@ def stream_revision_steps(spark, sf_dir):
 # --- Timers and sessions on a stream -------------------------------------------
 
 
-def _closed(sent: DataFrame, names: Sequence[str] = ("clock",)) -> DataFrame:
+def _closed(sent: DataFrame, names: Sequence[str] = ("clock",), behind_s: int | None = None) -> DataFrame:
     """Arrivals with one more reading of each of ``names``, which moves the watermark to
-    ``AS_OF`` at the end."""
+    ``AS_OF`` at the end, or, with ``behind_s``, to so many seconds behind that and all readings."""
     at = F.expr(f"timestamp '{AS_OF}' + interval {DELAY_S} seconds")
     last = sent.sparkSession.createDataFrame([(n,) for n in names], "device_id string")
+    if behind_s is not None:
+        latest = F.greatest(F.expr(f"timestamp '{AS_OF}'"), F.max("event_time"))
+        last = last.crossJoin(sent.agg(latest.alias("latest")))
+        at = F.col("latest") + F.expr(f"interval {behind_s + DELAY_S} seconds")
     last = last.select("device_id", at.alias("event_time"), at.alias("arrival_time"))
     return sent.unionByName(last, allowMissingColumns=True)
 
@@ -228,7 +232,7 @@ def stream_sessions(spark, sf_dir):
 NEAR_S = 300
 
 
-def _near(rows: DataFrame) -> DataFrame:
+def _near(rows: DataFrame, grouped: bool = False) -> DataFrame:
     views = rows.where("device_id = 'view'").select("event_id", "event_time", "value")
     clicks = rows.where("device_id = 'click'").select(
         F.col("event_id").alias("click_id"),
@@ -238,7 +242,7 @@ def _near(rows: DataFrame) -> DataFrame:
     if rows.isStreaming:
         views = views.withWatermark("event_time", f"{DELAY_S} seconds")
         clicks = clicks.withWatermark("click_time", f"{DELAY_S} seconds")
-    return op.near_in_time(views, clicks, NEAR_S, NEAR_S, right_ts="click_time")
+    return op.near_in_time(views, clicks, NEAR_S, NEAR_S, right_ts="click_time", grouped=grouped)
 
 
 def near_readings(spark, sf_dir):
@@ -246,8 +250,12 @@ def near_readings(spark, sf_dir):
 
 
 def stream_near_readings(spark, sf_dir):
-    sent = _closed(_arriving(spark, sf_dir), ("view", "click"))
-    return _local(_appended(spark, sent, "near", _near).where("event_id is not null"))
+    """The same as a stream found them: it keeps the readings of each bucket and which are near,
+    in proportion to the readings, and the pairs, of which there are more, are made of these."""
+    # The last buckets reach beyond the last readings.
+    sent = _closed(_arriving(spark, sf_dir), ("view", "click"), behind_s=4 * NEAR_S)
+    groups = _appended(spark, sent, "near", lambda stream: _near(stream, grouped=True))
+    return _local(op.near_pairs(groups).where("event_id is not null"))
 
 
 def asof_limits(spark, sf_dir):
