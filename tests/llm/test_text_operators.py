@@ -337,6 +337,42 @@ def test_repeats_are_found_over_a_whole_large_host(spark, monkeypatch):
         assert {r.page_id: r.text for r in html.extract(df).collect()} == expected
 
 
+def test_search_chooses_between_a_notice_and_a_story(spark, monkeypatch):
+    """On a host on which every page marks a main text the search runs too, across all parts."""
+    wall = "<main><p>Before you read on please say that you agree to all of our terms</p></main>"
+    story = [" ".join(f"story{k}x{j}" for j in range(30)) for k in range(9)]
+    rows = [(k, f"http://h.example/{k}", f"{wall}<div><p>{s}</p></div>") for k, s in enumerate(story)]
+    # An article that stands on two pages stays whole, whatever little stands beside it.
+    shared = " ".join(f"word{j}" for j in range(40))
+    rows += [(k, "//g.example/", f"<article><p>{shared}</p></article><p>posted by {k}</p>") for k in (20, 21)]
+    # Copies of a page do not make it a notice, nor do the pages of another host.
+    rows += [(k, "//f.example/", rows[0][2]) for k in (30, 31, 32)]
+    expected = dict(enumerate(story)) | dict.fromkeys((20, 21), shared)
+    expected |= dict.fromkeys((30, 31, 32), wall[9:-11])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    for pages in (4096, 2):
+        monkeypatch.setattr(html, "HOST_PAGES", pages)
+        assert {r.page_id: r.text for r in html.extract(df).collect()} == expected
+
+
+def test_parts_find_what_one_suffix_array_finds():
+    """Weights of the prefixes of a part, by its suffix array and by their hashes."""
+    rng = random.Random(8)
+    pages = [
+        {"host": rng.choice("xy"), "main": [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 25)))], "other": []}
+        for _ in range(30)
+    ]
+    for followers in (None, [0, 3, 4]):
+        part = html._Part(pages, followers)
+        hashes, weights = part.by_suffix_array()
+        plain = {}
+        for h, o in zip(part.hashes.tolist(), part.owner.tolist(), strict=True):
+            plain.setdefault(h, set()).update({o} - {-1})
+        assert dict(zip(hashes.tolist(), weights.tolist(), strict=True)) == {h: min(len(o), 2) for h, o in plain.items()}
+        values, found, _ = part.candidates(np.ones(len(part.starts), bool))
+        assert dict(zip(values.tolist(), found.tolist(), strict=True)) == {h: min(len(o), 2) for h, o in plain.items()}
+
+
 def test_html_query(spark):
     import html as library
 

@@ -1,37 +1,42 @@
 """Main text of web pages, with a suffix array over the pages of a host.
 
-A page is read into blocks. Those inside an article or main element are its main text;
-elements and classes that say menu, header, footer, advert and the like are dropped.
-What is left, on pages that mark no main text, is judged by the host: the token streams
-of its pages are concatenated, a suffix array finds long substrings that occur on
-distinct pages, and tokens they cover are removed, so that the unique runs remain. The
-pages of a large host are too many for one task: there the same substrings are found by
-an exchange of the hashes of all windows of the shortest length, over the whole host.
+A page is read into blocks. Elements and classes that say menu, header, footer, advert and
+the like are dropped; what is left lies inside an article or main element, or outside of
+any. The token streams of all pages of a host are then searched for substrings that occur on
+distinct pages, and that decides which container is the main text of a page and what stays of
+one that nothing marks (see ``main_text``).
+
+Hosts may be of any size, so their pages are dealt to parts of bounded size, each with one
+suffix array. Where the arrays of different parts meet, the distinct prefixes of their suffixes
+are exchanged by ranges of their hash, first by a few bits, then whole for those that met: a
+prefix that occurs in two parts is repeated whichever part it is in.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from array import array
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import with_row_ids
+from tidegauge.llm.common import written
+from tidegauge.session import shared_folder
 
 #: Tokens of the shortest repeated substring that counts as boilerplate; a power of two.
 REPEAT_TOKENS = 8
-#: Pages of a host up to which one suffix array holds them all. What is found does not
-#: depend on it.
-HOST_PAGES = 256
-#: Hosts with pages to judge, up to which their list (some 50 bytes each) is sent to
-#: every executor, which spares a shuffle of all texts; a longer list is joined by one.
-FEW_HOSTS = 100_000
+#: Pages and tokens of a part, over which one suffix array is built. What is found does not
+#: depend on them.
+HOST_PAGES = 4096
+PART_TOKENS = 1_000_000
+#: Prefixes, on average, that one range of their hashes holds when they are exchanged.
+RANGE_PREFIXES = 1 << 20
 
 # Names of HTML elements and usual class words.
 RAW = {"script", "style", "textarea", "title"}
@@ -134,6 +139,29 @@ def blocks_of(html: str) -> list[tuple[bool, str]]:
     return out
 
 
+def suffixes_by_prefix(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of ``tokens`` in the order of their first ``least`` tokens, and where in it
+    each group of suffixes begins that have these in common."""
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    width = 1
+    while width < least:
+        ahead = np.zeros(len(rank), np.int64)
+        ahead[: len(rank) - width] = rank[width:] + 1
+        rank = np.unique(rank << 32 | ahead, return_inverse=True)[1]
+        width *= 2
+    suffixes = np.argsort(rank, kind="stable")
+    ordered = rank[suffixes]
+    return suffixes, np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+
+
+def _spread(starts: np.ndarray, n: int, least: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a substring of ``least`` tokens that begins at ``starts``."""
+    change = np.zeros(n + least + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, starts + least, -1)
+    return np.cumsum(change)[:n] > 0
+
+
 def covered_tokens(streams: list[list[str]], least: int = REPEAT_TOKENS) -> list[np.ndarray]:
     """For each stream, which of its tokens lie in a substring of ``least`` tokens or more
     that occurs in another, different stream. Equal streams count as one."""
@@ -151,24 +179,11 @@ def covered_tokens(streams: list[list[str]], least: int = REPEAT_TOKENS) -> list
     n = len(tokens)
     hit = np.zeros(n, bool)
     if n > least:
-        rank = np.unique(np.array(tokens), return_inverse=True)[1]
-        width = 1
-        while width < least:
-            ahead = np.full(n, -1)
-            ahead[: n - width] = rank[width:]
-            rank = np.unique(rank.astype(np.int64) << 32 | (ahead + 1), return_inverse=True)[1]
-            width *= 2
-        # Suffixes in the order of their first `least` tokens: equal ones stand together.
-        suffixes = np.argsort(rank, kind="stable")
-        ordered, pages = rank[suffixes], np.array(page)[suffixes]
-        edge = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        suffixes, edge = suffixes_by_prefix(np.array(tokens), least)
+        pages = np.array(page)[suffixes]
         low, high = np.minimum.reduceat(pages, edge), np.maximum.reduceat(pages, edge)
         shared = np.repeat(low != high, np.diff(np.append(edge, n)))
-        starts = suffixes[shared]
-        change = np.zeros(n + least + 1, np.int64)
-        np.add.at(change, starts, 1)
-        np.add.at(change, starts + least, -1)
-        hit = np.cumsum(change)[:n] > 0
+        hit = _spread(suffixes[shared], n, least)
     return [hit[b : b + len(s)] for b, s in zip(begin, streams, strict=True)]
 
 
@@ -178,65 +193,223 @@ def unique_text(blocks: list[str], covered: np.ndarray) -> str:
     return " ".join(t for t, c in zip(tokens, covered, strict=True) if not c)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of ``REPEAT_TOKENS`` tokens of each page: 128 bits of hash of its tokens
-    (``a``, ``b``) and of the whole stream (``c``, ``d``)."""
-    for batch in batches:
-        for row, host, marked, other in zip(*batch.columns, strict=True):
-            stream = [t for b in other.as_py() for t in b.split()]
-            many = len(stream) - REPEAT_TOKENS + 1
-            if many < 1:
-                continue
-            digests = [xxhash.xxh3_128_digest(_joined(stream[k : k + REPEAT_TOKENS])) for k in range(many)]
-            pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            c, d = np.frombuffer(xxhash.xxh3_128_digest(_joined(stream)), "<i8").tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row.as_py()] * many, pa.int64()),
-                    pa.array([host.as_py()] * many, pa.string()),
-                    pa.array([marked.as_py()] * many, pa.bool_()),
-                    pa.array(np.arange(many, dtype=np.int32)),
-                    pa.array(pairs[:, 0].copy()),
-                    pa.array(pairs[:, 1].copy()),
-                    pa.array([c] * many, pa.int64()),
-                    pa.array([d] * many, pa.int64()),
-                ],
-                ["_row", "host", "marked", "pos", "a", "b", "c", "d"],
-            )
+def main_text(main: list[str], other: list[str], in_main: np.ndarray, in_other: np.ndarray) -> str:
+    """The main text of a page, from its blocks inside (``main``) and outside (``other``) of
+    marked elements and which of their tokens other pages of the host have too.
 
+    Of a page that marks nothing, the unique tokens. A marked element is the main text, whole, as
+    an article may quote others or stand on several pages; unless all of it is repeated and more
+    unique tokens stand outside of it than it has in all: then it is a notice of the host.
+    """
+    if main and (not in_main.all() or (~in_other).sum() <= len(in_main)):
+        return " ".join(main)
+    return unique_text(other, in_other)
 
-def _joined(tokens: list[str]) -> bytes:
-    return " ".join(tokens).encode("utf-8", "surrogatepass")
 
+class _Part:
+    """The token streams of the pages of a part, two to a page, and their prefixes: the places
+    (``starts``) of all substrings of ``REPEAT_TOKENS`` tokens, the page (``owner``) and 64 bits
+    of hash (``hashes``) of each. Tokens are known by 64 bits of hash, with the host in it. Pages
+    of ``followers`` are copies of another page of the host; their owner is -1.
+    """
 
-def _unique_on_host(pages: DataFrame) -> DataFrame:
-    """``_row``, ``text`` of the unmarked ones of ``pages``, all in hosts of any size.
+    def __init__(self, pages: list[dict], followers: list[int] | None):
+        self.pages = pages
+        copies = set(followers or ())
+        named = xxhash.xxh3_64_intdigest
+        tokens = array("Q")
+        ends, owner = [], []
+        for k, page in enumerate(pages):
+            host = named(page["host"])
+            for blocks in (page["main"], page["other"]):
+                for block in blocks:
+                    tokens.extend([named(token, host) for token in block.split()])
+                tokens.append(named(f"\0{len(ends)}"))  # a separator that occurs once
+                ends.append(len(tokens))
+                owner.append(-1 if k in copies else k)
+        self.tokens = np.array(tokens)
+        self.ends = np.array(ends, np.int64)
+        n = len(tokens)
+        sizes = np.diff(np.append(0, self.ends))
+        left = np.repeat(self.ends, sizes) - np.arange(n)  # tokens to the end, separator included
+        self.starts = np.flatnonzero(left > REPEAT_TOKENS)
+        self.owner = np.repeat(np.array(owner, np.int64), sizes)[self.starts]
+        many = max(n - REPEAT_TOKENS + 1, 0)
+        total = np.zeros(many, np.uint64)
+        for k in range(REPEAT_TOKENS):
+            total *= np.uint64(0x9E3779B97F4A7C15)
+            total += self.tokens[k : k + many]
+        total = total[self.starts]
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            total = (total ^ (total >> np.uint64(shift))) * np.uint64(factor)
+        self.hashes = total ^ (total >> np.uint64(31))
+
+    def by_suffix_array(self) -> tuple[np.ndarray, np.ndarray]:
+        """The hash of each distinct prefix, and how many pages have it: 2 if more, 0 if only
+        followers."""
+        if not len(self.starts):
+            return self.hashes, np.zeros(0, np.uint8)
+        suffixes, edge = suffixes_by_prefix(self.tokens, REPEAT_TOKENS)
+        place = np.full(len(self.tokens), -1)
+        place[self.starts] = np.arange(len(self.starts))
+        at = place[suffixes]
+        weights = _weights(np.where(at < 0, -1, self.owner[at]), edge)
+        # Suffixes that have the end of their stream in the prefix are groups of one.
+        firsts = at[edge]
+        return self.hashes[firsts[firsts >= 0]], weights[firsts >= 0]
+
+    def met(self, bits: int, met: list[dict] | None) -> np.ndarray:
+        """Which places have a prefix that met another one by its first ``bits`` bits."""
+        values, inverse = np.unique(self.hashes >> np.uint64(64 - bits), return_inverse=True)
+        return _unpacked(met, len(values))[inverse]
+
+    def candidates(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct hashes at the places ``which``, the number of pages of each, up to 2, and
+        its index for every such place."""
+        values, inverse = np.unique(self.hashes[which], return_inverse=True)
+        order = np.argsort(inverse, kind="stable")
+        edge = np.searchsorted(inverse[order], np.arange(len(values)))
+        return values, _weights(self.owner[which][order], edge), inverse
+
+    def covered(self, places: np.ndarray) -> list[np.ndarray]:
+        """For each stream, which of its tokens lie in the substrings at ``places``."""
+        hit = _spread(self.starts[places], len(self.tokens), REPEAT_TOKENS)
+        return [h[:-1] for h in np.split(hit, self.ends[:-1])]
+
+
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def _weights(owner: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """How many owners each group has that begins at ``edge``: 2 if more, none counts for -1."""
+    if not len(edge):
+        return np.zeros(0, np.uint8)
+    high = np.maximum.reduceat(owner, edge)
+    low = np.minimum.reduceat(np.where(owner < 0, np.iinfo(np.int64).max, owner), edge)
+    return np.where(high < 0, 0, np.where(low == high, 1, 2)).astype(np.uint8)
+
+
+def _unpacked(met: list[dict] | None, n: int) -> np.ndarray:
+    """The answers for ``n`` values in ascending order, from those of their ranges."""
+    flags = np.zeros(n, bool)
+    at = 0
+    for row in sorted(met or (), key=lambda r: r["range"]):
+        raw = pa.decompress(row["bits"], (row["n"] + 7) // 8, codec="zstd", asbytes=True)
+        flags[at : at + row["n"]] = np.unpackbits(np.frombuffer(raw, np.uint8), count=row["n"]).astype(bool)
+        at += row["n"]
+    return flags
+
+
+_SENT = pa.schema([("part", pa.int64()), ("range", pa.int32()), ("n", pa.int32()), ("sent", pa.binary())])
+
+
+def _sent(part: int, values: np.ndarray, weights: np.ndarray, bits: int, ranges: int) -> pa.RecordBatch:
+    """Distinct ``values`` of ``bits`` bits in ascending order, with their weights, as a row for
+    each of the 2 ** ``ranges`` ranges they lie in: differences by planes of bytes, compressed."""
+    number = (values >> np.uint64(bits - ranges)).astype(np.int64)
+    edge = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(values) else np.zeros(0, np.int64)
+    ends = np.append(edge[1:], len(values))
+    sent = []
+    for a, b in zip(edge.tolist(), ends.tolist(), strict=False):
+        steps = np.diff(values[a:b], prepend=np.uint64(0)).astype("<u8")
+        planes = steps.view(np.uint8).reshape(-1, 8).T.tobytes() + weights[a:b].tobytes()
+        sent.append(pa.compress(planes, codec="zstd", asbytes=True))
+    rows = [[part] * len(edge), number[edge].tolist(), (ends[: len(edge)] - edge).tolist(), sent]
+    return pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, _SENT, strict=True)], schema=_SENT)
+
+
+def _met(sent: DataFrame, purpose: str) -> DataFrame:
+    """For each part, ``met``: which of the values it sent occur on two pages or more, of any part."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        values, weights = [], []
+        sizes = group.column("n").to_pylist()
+        for n, raw in zip(sizes, group.column("sent"), strict=True):
+            planes = np.frombuffer(pa.decompress(raw.as_py(), 9 * n, codec="zstd", asbytes=True), np.uint8)
+            steps = np.ascontiguousarray(planes[: 8 * n].reshape(8, n).T).view("<u8").ravel()
+            values.append(np.cumsum(steps, dtype=np.uint64))
+            weights.append(planes[8 * n :])
+        inverse = np.unique(np.concatenate(values), return_inverse=True)[1]
+        several = np.bincount(inverse, np.concatenate(weights))[inverse] > 1
+        bits = [
+            pa.compress(np.packbits(s).tobytes(), codec="zstd", asbytes=True)
+            for s in np.split(several, np.cumsum(sizes)[:-1])
+        ]
+        return group.select(["part", "range", "n"]).append_column("bits", pa.array(bits, pa.binary()))
 
-    Windows are summed per host before the shuffle, so one on all pages of a host is a row
-    of each task; a window is shared if it occurs in two different streams.
-    """
-    windows = pages.select("_row", "host", "marked", "other").mapInArrow(
-        _windows, "_row long, host string, marked boolean, pos int, a long, b long, c long, d long"
-    )
-    seen = windows.groupBy("host", "a", "b").agg(
-        *[f(x).alias(f"{f.__name__}_{x}") for x in ("c", "d") for f in (F.min, F.max)]
+    answers = sent.groupBy("range").applyInArrow(merge, "part long, range int, n int, bits binary")
+    return written(answers, purpose).groupBy("part").agg(
+        F.collect_list(F.struct("range", "n", "bits")).alias("met")
     )
-    shared = seen.where("min_c <> max_c or min_d <> max_d").select("host", "a", "b")
-    starts = windows.where("not marked").join(shared, ["host", "a", "b"])
-    found = starts.groupBy("_row").agg(F.collect_list("pos").alias("starts"))
-    judged = pages.where("not marked").select("_row", "other").join(found, "_row", "left")
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _parts(pages: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """``pages`` (``id``, ``url``, ``html``, ``host``) read and dealt to parts: ``part``, ``pages``, two
+    numbers ``a``, ``b`` that tell the text of each page, and ``tokens``, their number. Written by
+    buckets of ``part``, so that what is joined by it moves no text."""
+    most_pages, most_tokens = HOST_PAGES, PART_TOKENS
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.StructArray] = []
+        digests: list[bytes] = []
+        tokens = 0
+
+        def part() -> pa.RecordBatch:
+            names = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            structs = pa.concat_arrays(held)
+            ends = pa.array([0, len(structs)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.ListArray.from_arrays(ends, structs),
+                    pa.array([names[:, 0]], pa.list_(pa.int64())),
+                    pa.array([names[:, 1]], pa.list_(pa.int64())),
+                    pa.array([tokens], pa.int64()),
+                ],
+                ["pages", "a", "b", "tokens"],
+            )
+
+        step = min(64, most_pages)
         for batch in batches:
-            texts = []
-            for other, at in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                covered = np.zeros(sum(len(b.split()) for b in other), bool)
-                for k in at or ():
-                    covered[k : k + REPEAT_TOKENS] = True
-                texts.append(unique_text(other, covered))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_row", "text"])
+            for at in range(0, batch.num_rows, step):
+                rows = batch.slice(at, step)
+                main, other = [], []
+                for page, host in zip(rows.column(2), rows.column(3), strict=True):
+                    blocks = blocks_of(page.as_py() or "")
+                    main.append([t for m, t in blocks if m])
+                    other.append([t for m, t in blocks if not m])
+                    text = "\0".join([host.as_py(), " ".join(main[-1]), " ".join(other[-1])])
+                    digests.append(xxhash.xxh3_128_digest(_bytes(text)))
+                    tokens += text.count(" ") + 2
+                texts = [pa.array(x, pa.list_(pa.string())) for x in (main, other)]
+                held.append(
+                    pa.StructArray.from_arrays(
+                        [rows.column(0), rows.column(1), rows.column(3), *texts], ["id", "url", "host", "main", "other"]
+                    )
+                )
+                if len(digests) + step > most_pages or tokens > most_tokens:
+                    yield part()
+                    held, digests, tokens = [], [], 0
+        if held:
+            yield part()
 
-    return judged.mapInArrow(clean, "_row long, text string")
+    page = f"struct<id:{kinds['id']},url:{kinds['url']},host:string,main:array<string>,other:array<string>>"
+    parts = pages.mapInArrow(read, f"pages array<{page}>, a array<long>, b array<long>, tokens long")
+    spark = pages.sparkSession
+    name = f"html_parts_{uuid.uuid4().hex}"
+    writer = parts.withColumn("part", F.monotonically_increasing_id()).write.format("parquet")
+    writer = writer.option("compression", "zstd").option("path", shared_folder(spark, "html-parts"))
+    writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").saveAsTable(name)
+    return spark.table(name)
+
+
+def _followers(parts: DataFrame) -> DataFrame:
+    """For each part, the places of pages that are the same as an earlier one of their host."""
+    each = parts.select("part", F.posexplode(F.arrays_zip("a", "b")).alias("at", "x")).select("part", "at", "x.a", "x.b")
+    first = each.groupBy("a", "b").agg(F.min(F.struct("part", "at")).alias("first"), F.count("*").alias("n"))
+    first = first.where("n > 1").select("a", "b", "first")
+    later = each.join(first, ["a", "b"]).where(F.struct("part", "at") != F.col("first"))
+    return later.groupBy("part").agg(F.collect_list("at").alias("followers"))
 
 
 def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -244,8 +417,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
 
     A null or empty page has an empty text; a null url is a host of its own. Repeated
     pages stay rows and do not make each other boilerplate; further columns are ignored;
-    an empty table gives an empty result. Repeats are found over all pages of a host,
-    however many; hosts on which every page marks its main text are not looked at.
+    an empty table gives an empty result. Repeats are searched on every page, over all pages
+    of its host, however many.
     """
     kinds = dict(pages.dtypes)
     named = pages.select(
@@ -254,50 +427,51 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
         F.col(html).alias("html"),
         F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:\w+:)?//([^/?#:]*)", 1)).alias("host"),
     )
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                main, other = [], []
-                for page in part.column(2):
-                    blocks = blocks_of(page.as_py() or "")
-                    inside = [t for m, t in blocks if m]
-                    main.append(" ".join(inside) if inside else None)
-                    other.append([t for m, t in blocks if not m])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(3), pa.array(main, pa.string()), pa.array(other, pa.list_(pa.string()))],
-                    ["id", "url", "host", "main", "other"],
-                )
-
-    parsed = named.mapInArrow(
-        read,
-        f"id {kinds[id]}, url {kinds[url]}, host string, main string, other array<string>",
-    )
-    marked = parsed.withColumn("marked", F.col("main").isNotNull())
-    rows = with_row_ids(marked, "html-blocks")
-    hosts = rows.groupBy("host").agg(F.count("*").alias("pages"), F.bool_and("marked").alias("plain"))
-    hosts = hosts.where("not plain").select("host", "pages")
-    if hosts.count() <= FEW_HOSTS:
-        hosts = F.broadcast(hosts)
-    asked = rows.select("_row", "host", "marked", "other").join(hosts, "host")
-
-    def judge(group: pa.Table) -> pa.Table:
-        own = group.filter(pa.compute.invert(group.column("marked")))
-        other = group.column("other").to_pylist()
-        covered = covered_tokens([[t for b in blocks for t in b.split()] for blocks in other])
+    parts = _parts(named, {"id": kinds[id], "url": kinds[url]})
+    total = parts.agg(F.sum("tokens")).first()[0] or 0
+    # So many bits that one prefix in sixteen or fewer meets another one by chance.
+    bits = min(max(total.bit_length() + 4, 24), 56)
+    ranges = max((total // RANGE_PREFIXES).bit_length(), 4)
+    followers = written(_followers(parts), "html-copies")
+    parts = parts.select("part", "pages").join(followers, "part", "left")
+
+    def each_part(rows: DataFrame, f: Callable, schema: str) -> DataFrame:
+        def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    values = {c: batch.column(c)[k] for c in batch.schema.names}
+                    yield f(values, _Part(values["pages"].as_py(), values["followers"].as_py()))
+
+        return rows.mapInArrow(over, schema)
+
+    def short(row: dict, part: _Part) -> pa.RecordBatch:
+        hashes, weights = part.by_suffix_array()
+        values, inverse = np.unique(hashes >> np.uint64(64 - bits), return_inverse=True)
+        summed = np.minimum(np.bincount(inverse, weights, len(values)), 2).astype(np.uint8)
+        return _sent(row["part"].as_py(), values, summed, bits, ranges)
+
+    def whole(row: dict, part: _Part) -> pa.RecordBatch:
+        values, weights, _ = part.candidates(part.met(bits, row["short"].as_py()))
+        return _sent(row["part"].as_py(), values, weights, 64, ranges)
+
+    def cleaned(row: dict, part: _Part) -> pa.RecordBatch:
+        near = part.met(bits, row["short"].as_py())
+        values, _, inverse = part.candidates(near)
+        repeated = _unpacked(row["whole"].as_py(), len(values))[inverse]
+        covered = part.covered(np.flatnonzero(near)[repeated])
+        structs = row["pages"].values
         texts = [
-            unique_text(o, c)
-            for o, c, m in zip(other, covered, group.column("marked").to_pylist(), strict=True)
-            if not m
+            main_text(page["main"], page["other"], covered[2 * k], covered[2 * k + 1])
+            for k, page in enumerate(part.pages)
         ]
-        return pa.table({"_row": own.column("_row"), "text": pa.array(texts, pa.string())})
-
-    few = asked.where(F.col("pages") <= HOST_PAGES).select("_row", "host", "marked", "other")
-    judged = few.groupBy("host").applyInArrow(judge, "_row long, text string")
-    judged = judged.union(_unique_on_host(asked.where(F.col("pages") > HOST_PAGES)))
-    named_rows = rows.where("not marked").select("_row", "id", "url").join(judged, "_row")
-    found = rows.where("marked").select("id", "url", F.col("main").alias("text")).union(
-        named_rows.select("id", "url", "text")
-    )
+        return pa.RecordBatch.from_arrays(
+            [structs.field("id"), structs.field("url"), pa.array(texts, pa.string())], ["id", "url", "text"]
+        )
+
+    sent = "part long, range int, n int, sent binary"
+    met = _met(each_part(parts, short, sent), "html-short").withColumnRenamed("met", "short")
+    parts = parts.join(met, "part", "left")
+    met = _met(each_part(parts, whole, sent), "html-whole").withColumnRenamed("met", "whole")
+    parts = parts.join(met, "part", "left")
+    found = each_part(parts, cleaned, f"id {kinds[id]}, url {kinds[url]}, text string")
     return found.select(F.col("id").alias(id), F.col("url").alias(url), "text")
