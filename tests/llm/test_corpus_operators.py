@@ -44,6 +44,17 @@ def plain_groups(nodes, pairs):
     return {n: find(n) for n in nodes}
 
 
+def test_the_driver_collects_in_each_round_of_components(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def whole():
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    before = whole()
+    assert connected_components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")).count() == 3
+    assert whole() >= before + 2
+
+
 def test_components_of_chains_stars_and_repeats(spark):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, k) for k in range(501, 560)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +47,14 @@ def _written_at(df: DataFrame, purpose: str, compression: str = "snappy") -> tup
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def settle(spark: SparkSession) -> None:
+    """Has the driver give up what finished jobs have left in it: plans, task metrics, broadcast
+    tables, and with these the shuffle files on executors. For operators of many small jobs, which
+    else let its heap grow to the limit, whatever the size of their data."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def connected_components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """Smallest reachable node for every node of ``edges`` (``a``, ``b``: long).
 
@@ -90,6 +99,7 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         done = its_number == number and after.join(links, ["a", "b"], "left_anti").isEmpty()
         if folder is not None:
             remove(edges.sparkSession, folder)
+        settle(edges.sparkSession)
         links, folder, number = after, its_folder, its_number
         if done:
             break

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import WHITE, bind, connected_components, written
+from tidegauge.llm.common import WHITE, bind, connected_components, settle, written
 
 EDITS = 2
 #: Shorter lines are left alone: headings, list marks and the like recur by right.
@@ -338,6 +338,7 @@ def _candidates(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         if not some:
             return found.distinct(), dense
         found = written(found, "line-pairs")
+        settle(texts.sparkSession)
         own, others = _refined(index, probe, hot)
         # The length left is the same for all lines entered under one path.
         short = own.where(F.length("rest") <= EDITS)
@@ -375,6 +376,7 @@ def near_line_links(distinct: DataFrame, docs: DataFrame, id: str = "doc_id", te
     lines = occurrences(docs, id, text).select("h1", "h2", "line").join(needed, ["h1", "h2"])
     texts = lines.groupBy("node").agg(F.first("line").alias("line"))
     texts = written(texts.withColumn("sig", signature(F.col("line"))), "line-texts")
+    settle(docs.sparkSession)
     pairs, dense = _candidates(texts)
     if dense is None:
         return _near(pairs, texts)
@@ -410,6 +412,7 @@ def dropped_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     # A line is known by both of its hashes, and in links by a number of its own.
     distinct = distinct_lines(docs, id, text).withColumn("node", F.monotonically_increasing_id())
     distinct = written(distinct, "line-firsts")
+    settle(docs.sparkSession)
     groups = connected_components(near_line_links(distinct, docs, id, text), "line-groups")
     grouped = distinct.select("node", "h1", "h2", "first", "n").join(groups, "node", "left")
     alone = grouped.where("component is null and n > 1").select("h1", "h2", "first")
@@ -417,6 +420,7 @@ def dropped_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     first = several.groupBy("component").agg(F.min("first").alias("first"))
     joint = several.drop("first").join(first, "component").select("h1", "h2", "first")
     classes = written(alone.union(joint), "line-classes")
+    settle(docs.sparkSession)
     lines = occurrences(docs, id, text).drop("line")
     place = _place(dict(lines.dtypes)["id"])
     later = lines.join(classes, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
