@@ -386,6 +386,27 @@ def test_one_group_of_all_letters(spark):
     assert variants(spark, n) == plain_variants(n)
 
 
+def test_variants_write_few_files(spark, monkeypatch):
+    """Each file costs processes and look-ups, however few its words are."""
+    n = {f"wor{a}{b}word": 5 ** (1 + (ord(a) + ord(b)) % 6) for a in "abcdefgh" for b in "abcdefgh"}
+    expected, tables, write = plain_variants(n), [], spelling.written
+    monkeypatch.setattr(spelling, "written", lambda *a: tables.append(write(*a)) or tables[-1])
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(x) for x in names]
+    dealt = 24 * spark.sparkContext.defaultParallelism
+    try:
+        for name, value in zip(names, (dealt, "false"), strict=True):
+            spark.conf.set(name, value)
+        words = spark.createDataFrame(list(n.items()), "word string, n long")
+        found = spelling.group_variants(words)
+        assert found.rdd.getNumPartitions() <= dealt // 8
+        assert {tuple(r) for r in found.collect()} == expected
+    finally:
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    assert sum(len(t.inputFiles()) for t in tables) <= dealt // 8
+
+
 def test_no_words(spark):
     assert variants(spark, {}) == set()
     assert variants(spark, {"single": 7}) == {("single", None, "single", 7, 0, None)}

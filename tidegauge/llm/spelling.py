@@ -22,6 +22,11 @@ RUN = "[A-Za-z\\u00C0-\\u00FF]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Closes a word; no run holds it.
 END = "$"
+#: A word of the shortest default length has 13 rows among the dealt rotations, so a table with
+#: a row for each word needs an eighth of the partitions that these have, at most.
+ROTATIONS = 8
+#: Of the search for roots, so many rounds are one plan: eight reads of a table.
+ROUNDS = 3
 
 
 def count_words(
@@ -61,6 +66,15 @@ def count_words(
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """``df``, with a row for each word, in fewer partitions than its shuffle has: shuffles are
+    sized for the rotations. Each partition that is written is a file, for which a store may
+    need more than for its rows: Hadoop's local one starts two processes."""
+    spark = df.sparkSession
+    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(spark.sparkContext.defaultParallelism, ceil(dealt / ROTATIONS)))
+
+
 def rotations(words: DataFrame) -> DataFrame:
     """Every rotation of every closed word, dealt to its two prefixes: ``prefix``, ``word``,
     ``n``, ``whole`` (the word lacks the edited character) and ``first``.
@@ -92,9 +106,8 @@ def rotations(words: DataFrame) -> DataFrame:
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """``word``, ``n_near`` and ``best``: the near word of largest ``n``, as a struct of
-    ``rank`` (minus n) and ``word``, of which the least counts. Words without a near one have
-    no row.
+    """``word``, ``n``, ``n_near`` and ``best``: the near word of largest ``n``, as a struct of
+    ``rank`` (minus n) and ``word``, of which the least counts; null without a near one.
 
     Groups are sorted by rank, whole words last. Of the others in its group a word needs how
     many there are and the first one, or the second if it is the first itself.
@@ -107,8 +120,11 @@ def near_words(words: DataFrame) -> DataFrame:
     everywhere = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.select(
         "word",
+        "n",
         "whole",
         "first",
+        # Once for each word: the rotation that is the word as it stands.
+        (F.col("whole") & F.col("prefix").endswith(END)).alias("unturned"),
         F.row_number().over(ranked).alias("place"),
         F.count(F.when(extended, 1)).over(everywhere).alias("n_extended"),
         F.count(F.when(counted, 1)).over(everywhere).alias("n_counted"),
@@ -122,20 +138,26 @@ def near_words(words: DataFrame) -> DataFrame:
     lacking = F.when(F.col("first"), F.col("shorter"))
     found = rows.select(
         "word",
+        "n",
+        "unturned",
         F.when(F.col("whole"), F.col("n_counted"))
         .otherwise(F.col("n_extended") - 1 + lacking.isNotNull().cast("int"))
         .alias("near"),
         F.when(F.col("whole"), F.col("longer")).otherwise(F.least(replaced, lacking)).alias("best"),
-    ).where("near > 0")
-    return found.groupBy("word").agg(F.sum("near").alias("n_near"), F.min("best").alias("best"))
+    ).where("near > 0 or unturned")
+    return found.groupBy("word").agg(
+        F.max("n").alias("n"), F.sum("near").alias("n_near"), F.min("best").alias("best")
+    )
 
 
 def roots(forms: DataFrame, steps: int, purpose: str = "spelling-roots") -> DataFrame:
     """``word``, ``root`` of a table ``word``, ``form`` without circles whose chains have at
-    most ``steps`` forms: every round doubles how far a word has been followed."""
+    most ``steps`` forms: every round doubles how far a word has been followed. It joins
+    the round before with itself, so the plan doubles too until a round is written."""
     known = forms.select("word", F.col("form").alias("root"))
-    for _ in range(ceil(log2(max(1, steps)))):
-        known = written(known, purpose)
+    for done in range(ceil(log2(max(1, steps)))):
+        if done and done % ROUNDS == 0:
+            known = written(few(known), purpose)
         further = known.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
         known = known.join(further, "root", "left").select(
             "word", F.coalesce("beyond", "root").alias("root")
@@ -154,20 +176,21 @@ def group_variants(words: DataFrame, ratio: int = 5) -> DataFrame:
     grow by ``ratio`` along a chain, which bounds its length. Rows with a null word, and
     other columns, are left out; an empty table gives an empty result.
     """
-    words = written(words.where("word is not null").select("word", "n"), "spelling-words")
     best_n = -F.col("best.rank")
-    linked = words.join(near_words(words), "word", "left").select(
+    linked = near_words(words.where("word is not null").select("word", "n")).select(
         "word",
         F.when(best_n >= ratio * F.col("n"), F.col("best.word")).alias("form"),
         "n",
-        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        F.col("n_near").cast("long").alias("n_near"),
         F.when(best_n >= ratio * F.col("n"), best_n).cast("long").alias("form_n"),
     )
-    linked = written(linked, "spelling-forms")
-    ends = words.agg(F.max("n").alias("most"), F.min("n").alias("least")).first()
+    linked = written(few(linked), "spelling-forms")
+    ends = linked.agg(F.max("n").alias("most"), F.min("n").alias("least")).first()
     most, least = max(1, ends["most"] or 1), max(1, ends["least"] or 1)
     steps = int(log(most / least, ratio) + 1e-9) + 1
     found = roots(linked.where("form is not null"), steps)
-    return linked.join(found, "word", "left").select(
-        "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
+    return few(
+        linked.join(found, "word", "left").select(
+            "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
+        )
     )
